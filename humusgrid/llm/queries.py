@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from humusgrid.llm.bpe import encode_corpus
 from humusgrid.llm.forms import canonical_text, look_alike_pairs, look_text
 from humusgrid.llm.leaks import leaked_items
+from humusgrid.llm.scans import noisy_texts, repaired_texts
 from humusgrid.llm.survivor import consensus_sources, field_sources, trust_rank
 from humusgrid.operators.components import connected_components
 from humusgrid.session import cut_lineage
@@ -27,6 +28,22 @@ def p1_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles.unionByName(labels).select("field", "row_id", look_text(F.col("text")).alias("one_form"), canonical_text(F.col("text")).alias("compare_form"))
 
 
+def scanned_fields(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame, str, str]]:
+    return [
+        ("extraction.raw_text", load_table(spark, sf_dir, "extraction"), "extraction_id", "raw_text"),
+        ("location_candidate.context_text", load_table(spark, sf_dir, "location_candidate"), "candidate_id", "context_text"),
+        ("profile_evidence.evidence_text", load_table(spark, sf_dir, "profile_evidence"), "evidence_id", "evidence_text"),
+    ]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return noisy_texts(scanned_fields(spark, sf_dir))
+
+
+def p2_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_texts(scanned_fields(spark, sf_dir))
+
+
 # Fields and trust orders of the two kinds of records.
 PROFILE_FIELDS = ("author_soil_type_raw", "author_profile_formula_raw", "soil_classification", "classification_system", "land_use")
 SITE_FIELDS = ("name", "region", "spatial_precision_m", "publication_year")
@@ -80,5 +97,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "eval_items"), "doc_id", "item_id").select("doc_id", "item_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found, "p2_repaired": p2_repaired, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found}
 ORACLE: dict[str, str] = {}
