@@ -9,6 +9,7 @@ from humusgrid.llm.bpe import encode_corpus
 from humusgrid.llm.forms import canonical_text, look_alike_pairs, look_text
 from humusgrid.llm.leaks import leaked_items
 from humusgrid.llm.scans import noisy_texts, repaired_texts
+from humusgrid.llm.subjects import document_subjects
 from humusgrid.llm.survivor import consensus_sources, field_sources, trust_rank
 from humusgrid.operators.components import connected_components
 from humusgrid.session import cut_lineage
@@ -97,5 +98,9 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "eval_items"), "doc_id", "item_id").select("doc_id", "item_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found, "p2_repaired": p2_repaired, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_subjects(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "subjects"), load_table(spark, sf_dir, "doc_labels")).select("doc_id", "subject")
+
+
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p2_found": p2_found, "p2_repaired": p2_repaired, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 ORACLE: dict[str, str] = {}
