@@ -134,24 +134,30 @@ def paragraph_words(documents: DataFrame, id_col: str, text_col: str, vocabulary
     return documents.select(id_col, text_col).mapInArrow(run, f"id {kind}, words array<int>")
 
 
-def infer(words: np.ndarray, start: np.ndarray, beta: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Topic proportions of paragraphs and the topic shares of each word.
+def infer(words: np.ndarray, start: np.ndarray, beta: np.ndarray, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(paragraph numbers, words, topic shares of the words), for paragraphs of equal length together.
 
     words: word numbers of all paragraphs; start: first word of each; beta:
     word x topic. Mean-field updates of the proportions, in the form that needs
-    no digamma (maximum a posteriori).
+    no digamma (maximum a posteriori). Paragraphs of one length make a block, so
+    that an update is two batched products and the word topics are read once.
     """
     size = np.diff(np.append(start, len(words)))
-    owner = np.repeat(np.arange(len(start)), size)
-    by_word = beta[words]
-    theta = np.full((len(start), beta.shape[1]), 1.0 / beta.shape[1], np.float32)
-    share = by_word
-    for _ in range(rounds):
-        share = by_word * theta[owner]
-        share /= share.sum(axis=1, keepdims=True) + 1e-30
-        theta = np.add.reduceat(share, start, axis=0) + ALPHA
-        theta /= theta.sum(axis=1, keepdims=True)
-    return theta, share
+    order = np.argsort(size, kind="stable")
+    edges = np.flatnonzero(np.diff(size[order])) + 1
+    for rows in np.split(order, edges):
+        own = words[start[rows][:, None] + np.arange(size[rows[0]])]
+        by_word = beta[own]
+        theta = np.full((len(rows), 1, beta.shape[1]), 1.0 / beta.shape[1], np.float32)
+        turned = by_word.transpose(0, 2, 1)
+        for _ in range(rounds):
+            norm = 1.0 / (theta @ turned + 1e-30)
+            theta *= norm @ by_word
+            theta += ALPHA
+            theta /= theta.sum(axis=2, keepdims=True)
+        by_word *= theta
+        by_word /= by_word.sum(axis=2, keepdims=True) + 1e-30
+        yield rows, own, by_word
 
 
 def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,10 +175,10 @@ def expected_counts(bags: DataFrame, beta: Broadcast, rounds: int) -> np.ndarray
             if not batch.num_rows:
                 continue
             words, start = _flat(batch.column(0))
-            _, share = infer(words, start, model, rounds)
-            order = np.argsort(words, kind="stable")
-            run_start = np.flatnonzero(np.diff(words[order], prepend=-1))
-            sums[:, words[order][run_start]] += np.add.reduceat(share[order], run_start, axis=0).T
+            for _, own, share in infer(words, start, model, rounds):
+                flat, share = own.ravel(), share.reshape(-1, n_topics)
+                for k in range(n_topics):
+                    sums[k] += np.bincount(flat, share[:, k], n_words)
         rows = [(k, b, sums[k, b : b + BLOCK].tobytes()) for k in range(n_topics) for b in range(0, n_words, BLOCK)]
         topics, blocks, values = zip(*rows)
         yield pa.RecordBatch.from_arrays([pa.array(topics, pa.int32()), pa.array(blocks, pa.int32()), pa.array(values, pa.binary())], names=["topic", "block", "sums"])
@@ -313,8 +319,9 @@ def document_subjects(documents: DataFrame, subjects: DataFrame, labels: DataFra
             if not batch.num_rows or not names:
                 continue
             words, start = _flat(batch.column(1))
-            _, share = infer(words, start, beta, INNER_LAST)
-            told = np.add.reduceat(share @ to_subject * speaks[words], start, axis=0)
+            told = np.empty((len(start), to_subject.shape[1]), np.float32)
+            for rows, own, share in infer(words, start, beta, INNER_LAST):
+                told[rows] = np.einsum("pws,pws->ps", share @ to_subject, speaks[own].astype(np.float32))
             best = told.argmax(axis=1)
             most = told[np.arange(len(told)), best]
             keep = np.flatnonzero((most >= EVIDENCE) & (most >= SHARE * told.sum(axis=1)))
