@@ -1,7 +1,7 @@
 """All queries of the core and their SQL."""
 
-from humusgrid.plans import core_queries
+from humusgrid.plans import core_queries, domain, relational
 
-FLAGSHIP = "p5_monthly"
-QUERIES = {**core_queries.QUERIES}
-ORACLE = {**core_queries.ORACLE}
+FLAGSHIP = "canned_property_means"
+QUERIES = {**relational.R.queries, **domain.R.queries, **core_queries.QUERIES}
+ORACLE = {**relational.R.oracle, **domain.R.oracle, **core_queries.ORACLE}
