@@ -143,7 +143,7 @@ def _cost(a: str, b: str, head: bool) -> float:
         return COST_ALIKE
     if not any(ch.isalnum() or ch in "/%" for ch in pair):
         return COST_SEPARATOR
-    return COST_HEAD if head else COST_LETTER
+    return COST_HEAD if head or any(ch.isdigit() for ch in pair) else COST_LETTER
 
 
 def edit_cost(a: str, b: str) -> float:
@@ -155,8 +155,8 @@ def edit_cost(a: str, b: str) -> float:
     for i in range(len(a)):
         new = [row[0] + _cost(a[i], "", heads[i])]
         for j in range(len(b)):
-            head = heads[i] or j == 0 or b[j - 1] == "/"
-            new.append(min(row[j] + _cost(a[i], b[j], head), row[j + 1] + _cost(a[i], "", heads[i]), new[j] + _cost("", b[j], head)))
+            head = j == 0 or b[j - 1] == "/"
+            new.append(min(row[j] + _cost(a[i], b[j], head or heads[i]), row[j + 1] + _cost(a[i], "", heads[i]), new[j] + _cost("", b[j], head)))
         row = new
     return row[-1]
 
@@ -176,12 +176,11 @@ def match_spelling(text: str | None, fuzzy: bool = True) -> list[str]:
     for gram in grams:
         for known in index.get(gram, ()):
             shared[known] += 1
-    limit = max(0.5, 0.15 * len(form))
     best: dict[float, set[str]] = defaultdict(set)
     for known, n in shared.items():
         if 2 * n >= 0.6 * (len(grams) + len(known) + 1) or n >= len(known) - 1:
             cost = edit_cost(form, known)
-            if cost <= limit:
+            if cost <= max(0.5, 0.15 * max(len(form), len(known))):
                 best[cost].update(spellings[known])
     if not best:
         return []

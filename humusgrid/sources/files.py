@@ -14,7 +14,7 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     """(document_id, text) of every *.txt file, the id from the file name; undecodable bytes are replaced."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
     name = F.regexp_extract("path", r"([^/]+)\.txt$", 1)
-    return files.select(name.alias("document_id"), F.decode(F.col("content"), "UTF-8").alias("text"))
+    return files.select(name.alias("document_id"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
