@@ -77,10 +77,12 @@ def look_form(text: str) -> str:
 
 def canonical_form(text: str) -> str:
     """Form to compare by, coarser than the look: case and raised forms do not count."""
-    s = unicodedata.normalize("NFKC", DROPPED.sub("", text)).casefold()
-    if not s.isascii():
-        s = unicodedata.normalize("NFD", s).translate(TWINS)
-        s = unicodedata.normalize("NFKC", s).casefold()
+    s = look_form(text)
+    if s.isascii():
+        return s.casefold()
+    s = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", s).casefold())
+    # what folds to a look-alike letter only now
+    s = unicodedata.normalize("NFC", unicodedata.normalize("NFD", s).translate(TWINS).casefold())
     return BLANK.sub(" ", s).strip(" ")
 
 

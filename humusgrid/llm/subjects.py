@@ -253,12 +253,14 @@ def map_topics(beta: np.ndarray, labelled: np.ndarray, described: np.ndarray, su
     rate = (texts + 0.1) / (texts + 0.1).sum(axis=1, keepdims=True)
     prefer = rate / rate.sum(axis=0, keepdims=True)
     out: list[str | None] = []
+    if not subjects:
+        return [None] * len(beta)
     for k in range(len(beta)):
         top = np.argsort(-lift[k])[:n]
         weight = np.maximum(lift[k][top], 0)
         score = (prefer[:, top] * weight).sum(axis=1) / (weight.sum() + 1e-12)
         best = int(np.argmax(score))
-        out.append(subjects[best] if score[best] > max(0.35, 2.5 / max(len(subjects), 1)) else None)
+        out.append(subjects[best] if score[best] > max(0.35, min(0.75, 2.5 / len(subjects))) else None)
     return out
 
 
