@@ -30,6 +30,8 @@ LOOK_ALIKE = (
     "ıi ‐- ‑- ﹣- ’' ʼ' ＇'"
 )
 TWINS = {ord(pair[0]): pair[1] for pair in LOOK_ALIKE.split()}
+# Small letters whose capitals print like a Latin capital: without case they are the same letter.
+FOLDED_TWINS = {ord(pair[0].casefold()): pair[1].casefold() for pair in LOOK_ALIKE.split() if pair[0].isupper()} | {k: v.casefold() for k, v in TWINS.items()}
 # Default-ignorable characters, as ranges.
 IGNORABLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
 # Characters that print nothing although they are not blanks (controls).
@@ -76,13 +78,16 @@ def look_form(text: str) -> str:
 
 
 def canonical_form(text: str) -> str:
-    """Form to compare by, coarser than the look: case and raised forms do not count."""
+    """Form to compare by, coarser than the look: case and raised forms do not count.
+
+    Letters that look alike in one case are one letter in both, as the Cyrillic
+    ve, whose capital prints like B: else a look-alike would have no case.
+    """
     s = look_form(text)
     if s.isascii():
         return s.casefold()
     s = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", s).casefold())
-    # what folds to a look-alike letter only now
-    s = unicodedata.normalize("NFC", unicodedata.normalize("NFD", s).translate(TWINS).casefold())
+    s = unicodedata.normalize("NFC", unicodedata.normalize("NFD", s).translate(FOLDED_TWINS))
     return BLANK.sub(" ", s).strip(" ")
 
 

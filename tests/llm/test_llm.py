@@ -40,6 +40,11 @@ def test_look_is_finer_than_canonical_and_stable():
         assert forms.canonical_form(s) == forms.canonical_form(look)
 
 
+@pytest.mark.parametrize(("a", "b"), [("В ТРАНШЕЕ", "в траншее"), ("B траншее", "в ТРАНШЕЕ"), ("МОЛ", "мол"), ("Soil", "SOIL"), ("straße", "STRASSE"), ("ﬁeld", "FIELD")])
+def test_canonical_form_has_no_case(a, b):
+    assert forms.canonical_form(a) == forms.canonical_form(b)
+
+
 def test_look_alike_pairs_match_brute_force(spark):
     rng = random.Random(2)
     base = ["Salt marsh 1", "Сосна 2", "café", "x"]
