@@ -91,8 +91,9 @@ def random_intercept(df: DataFrame, keys: Sequence[str], group: str, x: str, y:
     by_size = sums.groupBy(*keys, "n").agg(F.count(F.lit(1)).alias("groups"), *[F.sum(c).alias(c) for c in ("sxx", "sxy", "syy", "sx", "sy")], m("sx", "sx", "gxx"), m("sx", "sy", "gxy"), m("sy", "sy", "gyy"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 
-    def fit(t: pd.DataFrame) -> pd.DataFrame:
-        n, k = t["n"].to_numpy(), t["groups"].to_numpy(float)
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        t = {c: frame[c].to_numpy(float) for c in frame.columns if c not in keys}
+        n, k = t["n"], t["groups"]
 
         def at(rho: float) -> tuple[float, float, float, float]:
             # V of a group is I + rho J; its inverse I - c J with c = rho / (1 + n rho)
@@ -113,6 +114,6 @@ def random_intercept(df: DataFrame, keys: Sequence[str], group: str, x: str, y:
                 a, b = low + (high - low) * 0.382, low + (high - low) * 0.618
                 low, high = (low, b) if at(a)[0] <= at(b)[0] else (a, high)
             _, slope, se, icc = at((low + high) / 2)
-        return pd.DataFrame([[*(t[key].iloc[0] for key in keys), int((k * n).sum()), int(k.sum()), float(slope), float(se), float(icc)]], columns=[*keys, "rows", "groups", "slope", "se", "icc"])
+        return pd.DataFrame([[*(frame[key].iloc[0] for key in keys), int((k * n).sum()), int(k.sum()), float(slope), float(se), float(icc)]], columns=[*keys, "rows", "groups", "slope", "se", "icc"])
 
     return by_size.groupBy(*keys).applyInPandas(fit, f"{kinds}, rows long, groups long, slope double, se double, icc double")
