@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,7 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = os.path.join(tempfile.gettempdir(), f"humusgrid-{os.getpid()}")
-    os.makedirs(path, exist_ok=True)
+    if not os.path.isdir(path):
+        os.makedirs(path)
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     return "file://" + path
 
 
