@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from humusgrid.session import cut_lineage
+
 # Letters of other scripts that print like a Latin letter, pairs of (other, Latin).
 LOOK_ALIKE = (
     # Cyrillic
@@ -133,6 +135,8 @@ def look_alike_pairs(df: DataFrame, id_col: str, text_col: str, scope_col: str |
     rows = rows.withColumn("look", look_text(F.col("text"))).filter("look <> ''")
     # canonical_form depends on the look alone, and is made of it once per distinct look
     rows = rows.withColumn("form", F.xxhash64(canonical_text(F.col("look")), F.coalesce("scope", F.lit(""))))
+    # read three times below, so written once
+    rows = cut_lineage(rows, "looks")
     key = ["form", "scope", "look"]
     varied = rows.groupBy(*key).agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select(*key)
     kept = rows.join(varied.withColumnsRenamed({k: f"v_{k}" for k in key}), (rows["form"] == F.col("v_form")) & rows["scope"].eqNullSafe(F.col("v_scope")) & (rows["look"] == F.col("v_look")), "left_semi")
