@@ -25,11 +25,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from humusgrid.session import cut_lineage
+
 EARTH_KM = 6371.0
 #: Boundary pieces from the lowest to the highest latitude of a region.
 PIECES = 16
 #: Regions of one block, the bound of what is broadcast at once.
 BLOCK = 1000
+#: Reach in degrees of each round of the search for nearest points, from the whole globe down to some metres.
+REACHES = tuple(180 / 4**k for k in range(12))
+#: Points of a cell, weighted by themselves, up to which the first round may take its reach.
+CROWD = 16
 
 
 def usable(lat: Column, lon: Column) -> Column:
@@ -243,3 +249,76 @@ def points_near_points(points: DataFrame, distance_km: float = 1.0) -> DataFrame
     probes = probes.withColumn("cell", F.explode(touched)).select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "slab", "cell")
     near = home.join(probes, ["slab", "cell"]).filter((F.col("id") != F.col("id2")) & (haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= distance_km))
     return near.select(F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b")).distinct()
+
+
+def _cells_around(slab: Column, reach: float) -> Column:
+    """Cells around the globe in a slab, each at least one reach wide at its narrowest latitude."""
+    far = F.greatest(F.abs(slab * reach - 90), F.abs((slab + 1) * reach - 90))
+    return F.greatest(F.lit(1), F.floor(F.cos(F.radians(F.least(far, F.lit(90.0)))) * 360 / reach)).cast("long")
+
+
+def _cell_at(lon: Column, n: Column) -> Column:
+    return F.floor((lon + 180) / 360 * n).cast("long")
+
+
+def _slab_at(lat: Column, reach: float) -> Column:
+    return F.floor((lat + 90) / reach).cast("long")
+
+
+def _nearest_within(asked: DataFrame, places: DataFrame, reach: float) -> DataFrame:
+    """asked with km, the smallest distance found; every place at most `reach` degrees away is looked at."""
+    wide = reach * 1.0001 + 1e-9
+    home = places.withColumn("slab", _slab_at(F.col("lat"), wide))
+    home = home.withColumn("n", _cells_around(F.col("slab"), wide)).withColumn("cell", F.pmod(_cell_at(F.col("lon"), F.col("n")), F.col("n")))
+    home = home.select("slab", "cell", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    # the greatest half width of the disc, all around where it holds a pole
+    half = F.when(F.abs("lat") + wide < 90, F.degrees(F.asin(F.least(F.sin(F.lit(math.radians(min(wide, 90.0)))) / F.cos(F.radians("lat")), F.lit(1.0)))) * 1.0001 + 1e-9).otherwise(180.0)
+    own = _slab_at(F.col("lat"), wide)
+    probes = asked.withColumn("half", F.least(half, F.lit(180.0))).withColumn("slab", F.explode(F.array(own - 1, own, own + 1))).withColumn("n", _cells_around(F.col("slab"), wide))
+    start = F.when(F.col("half") >= 180, F.lit(-180.0)).otherwise(F.col("lon") - F.col("half"))
+    end = F.when(F.col("half") >= 180, F.lit(180.0)).otherwise(F.col("lon") + F.col("half"))
+    touched = F.array_distinct(F.transform(F.sequence(_cell_at(start, F.col("n")), _cell_at(end, F.col("n"))), lambda i: F.pmod(i, F.col("n"))))
+    probes = probes.withColumn("cell", F.explode(touched)).select("lat", "lon", "low", "high", "slab", "cell")
+    # a place that holds nothing but the same id is no other
+    other = ((F.col("lat") != F.col("lat2")) | (F.col("lon") != F.col("lon2"))) & ((F.col("low2") != F.col("low")) | (F.col("high2") != F.col("low")))
+    near = probes.join(home, ["slab", "cell"]).filter(other)
+    near = near.groupBy("lat", "lon").agg(F.min(haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))).alias("km"))
+    return asked.join(near, ["lat", "lon"], "left")
+
+
+def _first_reach(places: DataFrame) -> int:
+    """Number of the greatest reach whose cells hold few places."""
+    at = [F.struct(F.lit(k).alias("k"), _slab_at(F.col("lat"), r).alias("slab"), F.pmod(_cell_at(F.col("lon"), n), n).alias("cell")) for k, r in enumerate(REACHES) for n in (_cells_around(_slab_at(F.col("lat"), r), r),)]
+    crowd = places.select(F.explode(F.array(*at)).alias("c")).groupBy("c.k", "c.slab", "c.cell").count()
+    crowd = crowd.groupBy("k").agg((F.sum(F.col("count") * F.col("count")) / F.sum("count")).alias("m")).filter(F.col("m") <= CROWD)
+    return crowd.agg(F.min("k")).first()[0] if not crowd.isEmpty() else len(REACHES) - 1
+
+
+def nearest_other(points: DataFrame) -> DataFrame:
+    """Distance from each point to the nearest point of another id, wherever it is.
+
+    points: (id, latitude, longitude). Returns (id, latitude, longitude, km),
+    each distinct point once. Points are reduced to their distinct places. A
+    place searches the cells that a disc of some reach touches; what is found
+    within the reach is proven smallest, and the other places search again with
+    four times the reach, up to the whole globe.
+
+    Defined results: points without usable coordinates or with a null id give
+    no row; places shared by several ids are 0 km apart; where there is no other
+    id at all, there is no row.
+    """
+    rows = points.select("id", F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"))
+    rows = rows.filter(usable(F.col("lat"), F.col("lon")) & F.col("id").isNotNull()).distinct()
+    places = cut_lineage(rows.groupBy("lat", "lon").agg(F.min("id").alias("low"), F.max("id").alias("high")), "places")
+    out = places.filter("low <> high").select("lat", "lon", F.lit(0.0).alias("km"))
+    open_ = places.filter("low = high")
+    k = _first_reach(places)
+    while not open_.isEmpty():
+        tried = cut_lineage(_nearest_within(open_, places, REACHES[k]), "nearest")
+        proven = F.col("km") <= (math.inf if k == 0 else math.radians(REACHES[k]) * EARTH_KM)
+        out = out.unionByName(tried.filter(proven).select("lat", "lon", "km"))
+        if k == 0:
+            break
+        open_ = tried.filter(~F.coalesce(proven, F.lit(False))).select("lat", "lon", "low", "high")
+        k -= 1
+    return rows.join(out, ["lat", "lon"]).select("id", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), "km")

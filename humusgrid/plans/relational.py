@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from humusgrid.operators import aggregate as agg
 from humusgrid.operators import joins, stats
-from humusgrid.operators.spatial import haversine_km
+from humusgrid.operators.spatial import haversine_km, nearest_other
 from humusgrid.plans.registry import Registry, Tables
 
 R = Registry()
@@ -375,7 +375,7 @@ def skew_log_rule(t: Tables) -> DataFrame:
 @R.query("""WITH s AS (SELECT DISTINCT site_id, latitude AS y, longitude AS x FROM reported_site WHERE latitude BETWEEN 41 AND 82 AND longitude BETWEEN 19 AND 180), d AS (SELECT a.site_id, a.y, a.x, min(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2))))) AS km
 FROM s a JOIN s b ON a.site_id <> b.site_id AND floor(a.y) = floor(b.y) AND floor(a.x) = floor(b.x) GROUP BY ALL) SELECT count(*) AS n, avg(km) / (0.5 / sqrt(count(*) / 17098246.0)) AS ratio, avg(CASE WHEN km < 1 THEN 1.0 ELSE 0.0 END) AS under_1km FROM d""")
 def clark_evans(t: Tables) -> DataFrame:
-    """Clark-Evans ratio of sites with a neighbour in their degree cell."""
+    """Clark-Evans ratio of sites with a neighbour in their degree cell, as the SQL has it; over all sites: clark_evans_sites."""
     s = t.reported_site.filter("latitude between 41 and 82 and longitude between 19 and 180").select("site_id", F.col("latitude").alias("y"), F.col("longitude").alias("x")).distinct().withColumn("cy", F.floor("y")).withColumn("cx", F.floor("x"))
     b = s.select("cy", "cx", F.col("site_id").alias("id2"), F.col("y").alias("y2"), F.col("x").alias("x2"))
     d = s.join(b, ["cy", "cx"]).filter("site_id <> id2").groupBy("site_id", "y", "x").agg(F.min(haversine_km(F.col("y"), F.col("x"), F.col("y2"), F.col("x2"))).alias("km"))
@@ -383,6 +383,15 @@ def clark_evans(t: Tables) -> DataFrame:
     return d.agg(n.alias("n"), (F.avg("km") / (0.5 / F.sqrt(n / 17098246.0))).alias("ratio"), F.avg(F.when(F.col("km") < 1, 1.0).otherwise(0.0)).alias("under_1km"))
 
 
+@R.query("""WITH s AS (SELECT DISTINCT site_id, latitude AS y, longitude AS x FROM reported_site WHERE latitude BETWEEN 41 AND 82 AND longitude BETWEEN 19 AND 180), d AS (SELECT a.site_id, a.y, a.x, min(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2))))) AS km
+FROM s a JOIN s b ON a.site_id <> b.site_id GROUP BY ALL) SELECT count(*) AS n, avg(km) / (0.5 / sqrt(count(*) / 17098246.0)) AS ratio, avg(CASE WHEN km < 1 THEN 1.0 ELSE 0.0 END) AS under_1km FROM d""")
+def clark_evans_sites(t: Tables) -> DataFrame:
+    """Clark-Evans ratio of all sites, each with the nearest of all others."""
+    s = t.reported_site.filter("latitude between 41 and 82 and longitude between 19 and 180")
+    n = F.count(F.lit(1))
+    return nearest_other(s.select(F.col("site_id").alias("id"), "latitude", "longitude")).agg(n.alias("n"), (F.avg("km") / (0.5 / F.sqrt(n / 17098246.0))).alias("ratio"), F.avg(F.when(F.col("km") < 1, 1.0).otherwise(0.0)).alias("under_1km"))
+
+
 @R.query()
 def mixed_model(t: Tables) -> DataFrame:
     """Random-intercept trend of the log value on depth, documents as groups."""
