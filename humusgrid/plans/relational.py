@@ -155,13 +155,22 @@ def all_pairs_cooccurrence(t: Tables) -> DataFrame:
 SELECT a.document_id, a.y, a.x, min(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2))))) AS nearest_km
 FROM s a JOIN s b ON a.document_id = b.document_id AND (a.y <> b.y OR a.x <> b.x) GROUP BY ALL""")
 def nearest_neighbour(t: Tables) -> DataFrame:
-    """Distance to the nearest other position of the same document."""
+    """Distance to the nearest other position of the same document, as the SQL has it; over all positions: nearest_position."""
     s = t.reported_site.filter("document_id is not null and latitude between 41 and 82 and longitude between 19 and 180").select("document_id", F.col("latitude").alias("y"), F.col("longitude").alias("x")).distinct()
     b = s.select("document_id", F.col("y").alias("y2"), F.col("x").alias("x2"))
     far = haversine_km(F.col("y"), F.col("x"), F.col("y2"), F.col("x2"))
     return s.join(b, "document_id").filter("y <> y2 or x <> x2").groupBy("document_id", "y", "x").agg(F.min(far).alias("nearest_km"))
 
 
+@R.query("""WITH s AS (SELECT DISTINCT latitude AS y, longitude AS x FROM reported_site WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND NOT (latitude = 0 AND longitude = 0))
+SELECT a.y, a.x, min(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2))))) AS nearest_km
+FROM s a JOIN s b ON a.y <> b.y OR a.x <> b.x GROUP BY ALL""")
+def nearest_position(t: Tables) -> DataFrame:
+    """Distance to the nearest other of all unique positions."""
+    s = t.reported_site.select(F.struct("latitude", "longitude").alias("id"), "latitude", "longitude")
+    return nearest_other(s).select(F.col("latitude").alias("y"), F.col("longitude").alias("x"), F.col("km").alias("nearest_km"))
+
+
 @R.query("""SELECT p_type, sum(CASE WHEN l_discount < 0.03 THEN 1 ELSE 0 END) AS low, sum(CASE WHEN l_tax > 0.05 THEN l_quantity ELSE 0 END) AS taxed, avg(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END) AS returned_mean,
 max(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS max_f FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
 def conditional_counts(t: Tables) -> DataFrame:
