@@ -34,7 +34,7 @@ def decimal_degrees(groups: Column, most: int, negative: str) -> Column:
     return F.when((d <= most) & (m <= 59) & (s <= 59), F.when(F.upper(groups[3]) == negative, -value).otherwise(value))
 
 
-def dms_coordinates(df: DataFrame, id_col: str, text_col: str, start: int = 1200, end: int = 40000, within: int = 200) -> DataFrame:
+def dms_coordinates(df: DataFrame, id_col: str, text_col: str, start: int = 1200, end: int | None = None, within: int = 200) -> DataFrame:
     """(id_col, latitude, longitude, position): each latitude with the first longitude less than `within` characters after it."""
     lat = find_all(df, id_col, text_col, LATITUDE, start, end).select(id_col, "position", decimal_degrees(F.col("groups"), 90, "S").alias("latitude")).filter("latitude is not null")
     lon = find_all(df, id_col, text_col, LONGITUDE, start, end).select(id_col, F.col("position").alias("lon_at"), decimal_degrees(F.col("groups"), 180, "W").alias("longitude")).filter("longitude is not null")

@@ -101,7 +101,7 @@ def datum_evidence(t: Tables) -> DataFrame:
 
 @R.query()
 def dms_extract(t: Tables) -> DataFrame:
-    return dms_coordinates(t.extraction.filter("raw_text is not null"), "extraction_id", "raw_text", 0)
+    return dms_coordinates(t.extraction.filter("raw_text is not null"), "extraction_id", "raw_text", 0, None)
 
 
 @R.query("""SELECT c.o_custkey, c.total, coalesce(n.o_orderpriority, c.pri) AS pri FROM (SELECT o_custkey, sum(o_totalprice) AS total, 'none' AS pri FROM orders GROUP BY 1) c
