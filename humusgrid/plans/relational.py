@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from humusgrid.operators import aggregate as agg
 from humusgrid.operators import joins, stats
 from humusgrid.operators.spatial import haversine_km, nearest_other
+from humusgrid.operators.topics import text_topics
 from humusgrid.plans.registry import Registry, Tables
 
 R = Registry()
@@ -410,12 +411,26 @@ def mixed_model(t: Tables) -> DataFrame:
 
 @R.query("""SELECT corpus, CASE WHEN regexp_matches(lower(title), 'salin|solon|salt') THEN 'salinity' WHEN regexp_matches(lower(title), 'peat|bog|mire') THEN 'peat' WHEN regexp_matches(lower(title), 'forest|spruce|pine') THEN 'forest' ELSE 'other' END AS topic, count(*) AS n FROM document WHERE title IS NOT NULL GROUP BY ALL""")
 def topic_census(t: Tables) -> DataFrame:
-    """Ordered first-match classifier over titles."""
+    """Ordered first-match classifier over titles (FLT-8); the topic census over texts: text_topic_counts, text_topic_pairs."""
     s = F.lower("title")
     topic = F.when(s.rlike("salin|solon|salt"), "salinity").when(s.rlike("peat|bog|mire"), "peat").when(s.rlike("forest|spruce|pine"), "forest").otherwise("other")
     return t.document.filter("title is not null").groupBy("corpus", topic.alias("topic")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@R.query()
+def text_topic_counts(t: Tables) -> DataFrame:
+    """Census of 23 bilingual topics: documents of each corpus with the topic anywhere in their text, several topics a document."""
+    corpus = t.documents.select("doc_id", F.split_part("document_id", F.lit(":"), F.lit(1)).alias("corpus")).distinct()
+    return text_topics(t.documents, "doc_id", "text").join(corpus, "doc_id").groupBy("corpus", "topic").agg(F.count_distinct("doc_id").alias("documents"))
+
+
+@R.query()
+def text_topic_pairs(t: Tables) -> DataFrame:
+    """Pairs of topics in the same documents, with Jaccard."""
+    return agg.pair_counts(text_topics(t.documents, "doc_id", "text"), "doc_id", "topic")
+
+
+
 @R.query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE json_valid(props) AND json_extract_string(props, '$.k') IS NOT NULL")
 def json_locator(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k")).filter("k is not null")
