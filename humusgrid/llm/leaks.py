@@ -5,9 +5,11 @@ and documents differ in size by orders of magnitude, which ruins the Jaccard
 estimate of a plain MinHash; so both are cut into parts of one size class, all
 windows of `run` words. A shared run is then a pair of equal windows, contained
 in each other completely, and equal windows have equal MinHash values: the
-least hash of the window's word shingles. The index over the items' values
-therefore finds every leak; what it finds is verified by exact containment of
-the run's shingles in the item, in order.
+least hash of the window's word shingles. The items' values are the index. They
+are sent to the workers in blocks of bounded size, so a document that meets none
+is never moved; where a value is met, the window must hold all the shingles of
+an item's window in their order. What is found is joined to the items and
+verified word by word, each text for itself.
 """
 
 from __future__ import annotations
@@ -20,15 +22,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from humusgrid.llm.forms import canonical_form
+from humusgrid.session import cut_lineage
 
-#: Item values up to this number are sent to the workers as a filter; beyond it all values are joined.
-MOST_SENT = 2_000_000
-#: Bits of the filter's address, so its size is fixed.
-FILTER_BITS = 24
+#: Item values of one block, the bound of what is sent to the workers at once; there is one pass over the documents a block.
+MOST_SENT = 1_000_000
 REMEMBERED = 500_000
 SHINGLE = 5
 #: A word broken at a line end; the hyphen may be one of several characters.
@@ -104,6 +106,17 @@ def window_minima(words: np.ndarray, run: int) -> np.ndarray:
     return out[:n]
 
 
+def window_shingles(words: np.ndarray, at: np.ndarray, run: int) -> np.ndarray:
+    """One number for all shingles, in their order, of the windows that begin at the given words."""
+    h = shingle_hashes(words)
+    out = np.zeros(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(run - SHINGLE + 1):
+            out = (out ^ h[at + i]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(31)
+    return out
+
+
 def longest_shared_run(doc: np.ndarray, item: np.ndarray, run: int) -> int:
     """Longest run of words that stands in both, where it has at least `run` words; else 0.
 
@@ -122,43 +135,57 @@ def longest_shared_run(doc: np.ndarray, item: np.ndarray, run: int) -> int:
     return best if best >= run else 0
 
 
-def _minhash_rows(df: DataFrame, id_col: str, text_col: str, run: int, wanted: np.ndarray | None) -> DataFrame:
-    """(id, words, mins) of texts with at least one window value, or one that passes the filter."""
-    sent = None
-    if wanted is not None:
-        bits = np.zeros(1 << FILTER_BITS, bool)
-        bits[(wanted & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
-        sent = df.sparkSession.sparkContext.broadcast(np.packbits(bits))
+def _windows(df: DataFrame, id_col: str, text_col: str, run: int, wanted: Broadcast | None) -> DataFrame:
+    """(id, text_key, words, windows): texts with windows, where wanted is given with windows of an item.
+
+    windows holds (value, shingles) of the distinct windows. wanted: (values in
+    order, shingles in order) of the items' windows.
+    """
     kind = df.schema[id_col].dataType.simpleString()
 
     def one_way(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        bits = None if sent is None else np.unpackbits(sent.value).view(bool)
-        mask = np.uint64((1 << FILTER_BITS) - 1)
         for batch in batches:
-            words = [hashes.of(t) for t in batch.column(1).to_pylist()]
+            words = [hashes.of(t) for t in batch.column(2).to_pylist()]
             if not words:
                 continue
             size = np.fromiter(map(len, words), np.int64, len(words))
             end = np.cumsum(size)
-            mins = window_minima(np.concatenate(words), run)
+            together = np.concatenate(words)
+            mins = window_minima(together, run)
             # windows that reach into the next text do not count
             owner = np.repeat(np.arange(len(words)), size)[: len(mins)]
             good = np.arange(len(mins)) + run <= end[owner]
-            if bits is not None and len(mins):
-                good &= bits[(mins & mask).astype(np.int64)]
-            rows, values = owner[good], mins[good]
-            if not len(rows):
+            if wanted is not None:
+                values, shingles = wanted.value
+                good &= _among(mins, values)
+            at = np.flatnonzero(good)
+            own = window_shingles(together, at, run)
+            if wanted is not None:
+                held = _among(own, shingles)
+                at, own = at[held], own[held]
+            if not len(at):
                 continue
+            rows = owner[at]
             first = np.flatnonzero(np.diff(rows, prepend=-1))
-            kept = rows[first]
-            lists = [np.unique(v).view(np.int64) for v in np.split(values, first[1:])]
+            kept = pa.array(rows[first])
+            lists = [np.unique(np.stack((m, w), axis=1), axis=0) for m, w in zip(np.split(mins[at], first[1:]), np.split(own, first[1:]))]
+            offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32))
+            pair = np.concatenate(lists).view(np.int64)
+            windows = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["value", "shingles"]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(kept)), pa.array([words[k].view(np.int64) for k in kept], pa.list_(pa.int64())), pa.array(lists, pa.list_(pa.int64()))],
-                names=["id", "words", "mins"],
+                [batch.column(0).take(kept), batch.column(1).take(kept), pa.array([words[k].view(np.int64) for k in rows[first]], pa.list_(pa.int64())), windows],
+                names=["id", "text_key", "words", "windows"],
             )
 
-    return df.select(id_col, text_col).mapInArrow(one_way, f"id {kind}, words array<bigint>, mins array<bigint>")
+    texts = df.select(id_col, F.xxhash64(text_col).alias("text_key"), text_col)
+    return texts.mapInArrow(one_way, f"id {kind}, text_key bigint, words array<bigint>, windows array<struct<value:bigint,shingles:bigint>>")
+
+
+def _among(found: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(found), bool)
+    return sorted_values[np.minimum(np.searchsorted(sorted_values, found), len(sorted_values) - 1)] == found
 
 
 def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str, item_id: str, text_col: str = "text", run: int = 15, most_sent: int = MOST_SENT) -> DataFrame:
@@ -169,33 +196,41 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str, item_id: s
     lines are whole; tokens without letter or digit are no words.
 
     Defined results: null, blank and shorter texts leak nothing; repeated
-    documents each have their own row, repeated rows of one id one; several
-    items with the same text are all named; empty tables give no rows; only the
-    named columns are read.
+    documents each have their own row, rows of one id have one row for each item
+    that any of their texts leaks; several items with the same text are all
+    named; empty tables give no rows; only the named columns are read.
     """
     if run < SHINGLE:
         raise ValueError(f"run must be at least {SHINGLE}")
-    index = _minhash_rows(items, item_id, text_col, run, None).withColumnsRenamed({"id": "item", "words": "item_words", "mins": "item_mins"})
-    values = index.select(F.explode("item_mins").alias("value")).distinct()
-    wanted = None
-    held = values.limit(most_sent + 1).toArrow().column("value").to_numpy()
-    if len(held) <= most_sent:
-        wanted = held.view(np.uint64)
-    docs = _minhash_rows(documents, doc_id, text_col, run, wanted).withColumnsRenamed({"id": "doc", "words": "doc_words", "mins": "doc_mins"})
-    hits = docs.withColumn("value", F.explode("doc_mins")).drop("doc_mins")
-    posted = index.select("item", "item_words", F.explode("item_mins").alias("value"))
-    pairs = hits.join(posted, "value").groupBy("doc", "item").agg(F.any_value("doc_words").alias("doc_words"), F.any_value("item_words").alias("item_words"))
+    spark = documents.sparkSession
+    index = cut_lineage(_windows(items, item_id, text_col, run, None).distinct(), "items")
+    posted = index.select(F.col("id").alias("item"), F.col("text_key").alias("item_key"), F.explode("windows").alias("window"))
+    values = posted.select("window").distinct()
+    blocks = max(1, -(-values.count() // most_sent))
+    found = None
+    for b in range(blocks):
+        own = values if blocks == 1 else values.filter(F.pmod("window.value", F.lit(blocks)) == b)
+        held = own.select("window.value", "window.shingles").toArrow()  # about most_sent rows
+        sorted_ = tuple(np.unique(held.column(c).to_numpy().view(np.uint64)) for c in ("value", "shingles"))
+        part = _windows(documents, doc_id, text_col, run, spark.sparkContext.broadcast(sorted_))
+        found = part if found is None else found.unionByName(part)
+    # texts with a window of an item: few, so that their words are written once and moved only where they are verified
+    docs = cut_lineage(found.select(F.col("id").alias("doc"), F.col("text_key").alias("doc_key"), F.col("words").alias("doc_words"), "windows"), "leaks")
+    hits = docs.select("doc", "doc_key", F.explode("windows").alias("window"))
+    pairs = hits.join(posted, "window").select("doc", "doc_key", "item", "item_key").distinct()
+    texts = docs.select("doc", "doc_key", "doc_words").distinct().withColumnsRenamed({"doc": "d", "doc_key": "dk"})
+    passages = index.select(F.col("id").alias("i"), F.col("text_key").alias("ik"), F.col("words").alias("item_words"))
+    worded = pairs.join(texts, F.col("doc").eqNullSafe(F.col("d")) & (F.col("doc_key") == F.col("dk"))).join(passages, F.col("item").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("ik")))
 
     def _words(cell: pa.ListScalar) -> np.ndarray:
         return np.asarray(cell.values).view(np.uint64)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, items = batch.column(2), batch.column(3)
-            best = [longest_shared_run(_words(d), _words(i), run) for d, i in zip(docs, items)]
+            best = [longest_shared_run(_words(d), _words(i), run) for d, i in zip(batch.column(2), batch.column(3))]
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best, pa.int32())], names=[doc_id, item_id, "words"])
             yield out.filter(pc.greater(out.column(2), 0))
 
     kinds = f"`{doc_id}` {documents.schema[doc_id].dataType.simpleString()}, `{item_id}` {items.schema[item_id].dataType.simpleString()}, words int"
-    found = pairs.mapInArrow(verify, kinds)
-    return found.groupBy(doc_id, item_id).agg(F.max("words").alias("words"))
+    verified = worded.select("doc", "item", "doc_words", "item_words").mapInArrow(verify, kinds)
+    return verified.groupBy(doc_id, item_id).agg(F.max("words").alias("words"))

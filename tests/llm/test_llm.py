@@ -183,7 +183,7 @@ def _words(text):
 def test_leaks_match_brute_force(spark):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(400)]
-    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(10, 60)))) for i in range(20)] + [(90, None), (91, ""), (92, "too short")]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(20 if i == 1 else 10, 60)))) for i in range(20)] + [(90, None), (91, ""), (92, "too short")]
     items.append((93, items[0][1]))
     docs = []
     for d in range(150):
@@ -209,9 +209,14 @@ def test_leaks_match_brute_force(spark):
         w = _words(t)
         for k in range(len(w) - 14):
             want |= {(d, i) for i in grams.get(tuple(w[k : k + 15]), ())}
-    for most in (leaks.MOST_SENT, 5):
+    for most in (leaks.MOST_SENT, 200):
         got = [(r["doc_id"], r["item_id"]) for r in leaks.leaked_items(df, it, "doc_id", "item_id", most_sent=most).collect()]
         assert len(got) == len(set(got)) and set(got) == want and want
+    # two texts under one id: a near miss and a leak
+    run = items[1][1].split()[:15]
+    twice = [(d, " ".join(run[:14] + ["other"] * 4)) for d in range(40)] + [(d, "before " + " ".join(run) + " after") for d in range(40)] + [(None, " ".join(run))]
+    got = [r["doc_id"] for r in leaks.leaked_items(spark.createDataFrame(twice, "doc_id bigint, text string"), it.filter("item_id = 1"), "doc_id", "item_id").collect()]
+    assert len(items[1][1].split()) < 15 or sorted(x for x in got if x is not None) == list(range(40)) and None in got
     assert leaks.leaked_items(df.limit(0), it, "doc_id", "item_id").count() == 0 and leaks.leaked_items(df, it.limit(0), "doc_id", "item_id").count() == 0
 
 
