@@ -76,8 +76,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = field_sources(members, load_table(spark, sf_dir, table), f"{entity}_id", fields, trust, "updated_at")
         parts.append(found.select(F.lit(entity).alias("entity"), "group_id", "field_name", "source_id"))
     profiles = groups.filter("entity = 'profile'").select("id", "group_id")
-    moved = load_table(spark, sf_dir, "profile_merge_evidence").select(F.coalesce("canonical_profile_id", "retired_profile_id").alias("profile"), F.col("merge_evidence_id").alias("id"), F.col("evidence_text").alias("text")).distinct()
-    told = moved.join(profiles.withColumnRenamed("id", "profile"), "profile").select("group_id", "id", "text")
+    # evidence belongs to the group of its canonical profile, else of its retired one
+    moved = load_table(spark, sf_dir, "profile_merge_evidence").select("canonical_profile_id", "retired_profile_id", F.col("merge_evidence_id").alias("id"), F.col("evidence_text").alias("text"))
+    sides = F.array(*[F.struct(F.lit(k).alias("rank"), F.col(f"{c}_profile_id").alias("profile")) for k, c in enumerate(("canonical", "retired"))])
+    held = moved.select("id", "text", F.explode(sides).alias("side")).select("id", "text", "side.rank", "side.profile").join(profiles.withColumnRenamed("id", "profile"), "profile")
+    told = held.groupBy("id", "text").agg(F.min(F.struct("rank", "group_id"))["group_id"].alias("group_id"))
     texts = consensus_sources(told).select(F.lit("profile").alias("entity"), "group_id", F.lit("evidence_text").alias("field_name"), "source_id")
     return parts[0].unionByName(parts[1]).unionByName(texts)
 

@@ -1,27 +1,31 @@
 """Best representative of each duplicate group, field by field.
 
 Fields come from the most trusted and most recent member that gives them. Free
-text comes by consensus: the texts of a group are aligned progressively, token
-by token, each column is voted on by weight, and the existing text closest to
-the consensus is named. A group of any size is worked in bounded chunks, whose
-consensus texts are aligned again.
+text comes by consensus. The texts of a group are aligned token by token,
+progressively: all of them to the longest, which opens the columns; then what
+found no column, to the longest of what is left at its place, and so on until
+every token has one. Each column is voted on by weight, and the existing text
+closest to the consensus is named. As no step depends on the order of the texts,
+small groups are worked within a task and large ones by rounds over the cluster,
+with the same result.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
-from difflib import SequenceMatcher
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Texts aligned at once.
+from humusgrid.session import cut_lineage
+
+#: Distinct texts of a group up to which it is worked within a task; larger groups go by rounds, to the same end.
 CHUNK = 64
-#: Cells of an alignment table, the bound of the work on one pair of texts.
-MOST_CELLS = 4_000_000
 # What is written where nothing is known, in lower case.
 PLACEHOLDERS = (
     "", "-", "--", "—", "–", ".", "...", "…", "?", "*", "n/a", "na", "n.a.", "n.a", "#n/a", "none", "null", "nil", "nan", "unknown", "not known",
@@ -86,101 +90,129 @@ def clean_text(text: str | None) -> str:
     return "" if s.lower() in PLACEHOLDERS else s
 
 
-def align(a: list[str], b: list[str]) -> list[tuple[str, int, int, int, int]]:
-    """Edit steps between two token lists.
+def _common_lengths(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """Length of the longest common subsequence of a and each start of b, by bit vectors."""
+    where: dict[str, int] = defaultdict(int)
+    for j, w in enumerate(b):
+        where[w] |= 1 << j
+    full = (1 << len(b)) - 1
+    v = full
+    for w in a:
+        if m := where.get(w):
+            u = v & m
+            v = ((v + u) | (v - u)) & full
+    taken = np.unpackbits(np.frombuffer((v ^ full).to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate(([0], np.cumsum(taken, dtype=np.int64)))
+
+
+def common_tokens(a: Sequence[str], b: Sequence[str]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, found by halving in linear memory."""
+    pairs: list[tuple[int, int]] = []
+    open_ = [(0, len(a), 0, len(b))]
+    while open_:
+        a0, a1, b0, b1 = open_.pop()
+        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+            pairs.append((a0, b0))
+            a0, b0 = a0 + 1, b0 + 1
+        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+            a1, b1 = a1 - 1, b1 - 1
+            pairs.append((a1, b1))
+        if a0 == a1 or b0 == b1 or set(a[a0:a1]).isdisjoint(b[b0:b1]):
+            continue
+        if a1 - a0 == 1:
+            pairs.append((a0, b.index(a[a0], b0)))
+            continue
+        mid = (a0 + a1) // 2
+        fore = _common_lengths(a[a0:mid], b[b0:b1])
+        back = _common_lengths(a[mid:a1][::-1], b[b0:b1][::-1])[::-1]
+        cut = b0 + int((fore + back).argmax())
+        open_ += [(a0, mid, b0, cut), (mid, a1, cut, b1)]
+    return sorted(pairs)
+
+
+def align(a: list[str], b: list[str]) -> list[tuple[bool, int, int, int, int]]:
+    """Stretches (equal, a0, a1, b0, b1) of two token lists, exact at any length."""
+    steps: list[tuple[bool, int, int, int, int]] = []
+    at, to = 0, 0
+    for i, j in [*common_tokens(a, b), (len(a), len(b))]:
+        if i > at or j > to:
+            steps.append((False, at, i, to, j))
+        if i < len(a):
+            if steps and steps[-1][0] and steps[-1][2] == i and steps[-1][4] == j:
+                steps[-1] = (True, steps[-1][1], i + 1, steps[-1][3], j + 1)
+            else:
+                steps.append((True, i, i + 1, j, j + 1))
+        at, to = i + 1, j + 1
+    return steps
+
+
+def _whole(lead: str, word: str) -> str:
+    """What a column led by one word hears from another: a cut word is heard as the whole one."""
+    return lead if len(lead) > len(word) and (lead.startswith(word) or lead.endswith(word)) else word
+
 
-    Equal starts and ends are set aside; of very long texts with different
-    middles the middles are one replaced stretch.
+def heard(lead: list[str], words: list[str]) -> tuple[list[tuple[int, str]], list[tuple[int, list[str]]]]:
+    """Votes (column, word) of a text, and what has no column: (column before which it stands, words).
+
+    Gaps do not vote: what a copy lacks it does not deny.
     """
-    low, ends = 0, min(len(a), len(b))
-    while low < ends and a[low] == b[low]:
-        low += 1
-    high = 0
-    while high < ends - low and a[-1 - high] == b[-1 - high]:
-        high += 1
-    a1, b1 = len(a) - high, len(b) - high
-    steps = [("equal", 0, low, 0, low)] if low else []
-    if (a1 - low) * (b1 - low) > MOST_CELLS:
-        steps.append(("replace", low, a1, low, b1))
-    elif a1 > low or b1 > low:
-        steps += [(k, low + p, low + q, low + r, low + s) for k, p, q, r, s in SequenceMatcher(None, a[low:a1], b[low:b1], autojunk=False).get_opcodes()]
-    return [*steps, ("equal", a1, len(a), b1, len(b))] if high else steps
-
-
-class Consensus:
-    """Columns of weighted tokens, grown by progressive alignment."""
-
-    def __init__(self) -> None:
-        self.columns: list[dict[str, float]] = []
-
-    def tokens(self) -> list[str]:
-        return [max(c.items(), key=lambda kv: (kv[1], kv[0]))[0] for c in self.columns]
-
-    def add(self, text: str, weight: float) -> None:
-        """Align a text to the columns; tokens without a column open one. Gaps do not vote: what a copy lacks it does not deny."""
-        words = text.split()
-        lead = self.tokens()
-        out: list[dict[str, float]] = []
-        for kind, a0, a1, b0, b1 in self._blocks(lead, words):
-            if kind == "equal":
-                for c, w in zip(self.columns[a0:a1], words[b0:b1]):
-                    self._vote(c, w, weight)
-                    out.append(c)
-                continue
-            n = min(a1 - a0, b1 - b0)
-            # a cut word stands at the end (or the start) of what a copy holds
-            from_end = b0 == 0 and a0 > 0
-            for k in range(a1 - a0):
-                c = self.columns[a0 + k]
-                j = k - (a1 - a0 - n) if from_end else k
-                if 0 <= j < n:
-                    self._vote(c, words[(b1 - n if from_end else b0) + j], weight)
-                out.append(c)
-            rest = words[b0 : b1 - n] if from_end else words[b0 + n : b1]
-            if rest and from_end:
-                out[-(a1 - a0) or len(out) : -(a1 - a0) or len(out)] = [{w: weight * len(w)} for w in rest]
-            else:
-                out += [{w: weight * len(w)} for w in rest]
-        self.columns = out
-
-    @staticmethod
-    def _vote(column: dict[str, float], word: str, weight: float) -> None:
-        # a cut word is heard as the whole one, whichever comes first
-        for known in list(column):
-            if len(known) > len(word) and (known.startswith(word) or known.endswith(word)):
-                column[known] += weight * len(word)
-                return
-            if len(known) < len(word) and (word.startswith(known) or word.endswith(known)):
-                column[word] = column.get(word, 0.0) + column.pop(known)
-        column[word] = column.get(word, 0.0) + weight * len(word)
-
-    @staticmethod
-    def _blocks(lead: list[str], words: list[str]) -> list[tuple[str, int, int, int, int]]:
-        n = len(words)
-        # most copies are a stretch of the consensus, but for cut words at their ends
-        inner = words[1:-1] if n > 4 else words
-        skip = 1 if n > 4 else 0
-        if inner and len(inner) <= len(lead):
-            first = inner[0]
-            for at in range(len(lead) - len(inner) + 1):
-                if lead[at] == first and lead[at : at + len(inner)] == inner:
-                    a0, a1 = max(0, at - skip), min(len(lead), at + len(inner) + skip)
-                    blocks = [("gap", 0, a0, 0, 0)] if a0 else []
-                    blocks += [("part", a0, at, 0, skip)] if skip else []
-                    blocks.append(("equal", at, at + len(inner), skip, skip + len(inner)))
-                    blocks += [("part", at + len(inner), a1, skip + len(inner), n)] if skip else []
-                    if a1 < len(lead):
-                        blocks.append(("gap", a1, len(lead), n, n))
-                    return blocks
-        return align(lead, words)
+    votes: list[tuple[int, str]] = []
+    rest: list[tuple[int, list[str]]] = []
+    for equal, a0, a1, b0, b1 in align(lead, words):
+        if equal:
+            votes += zip(range(a0, a1), words[b0:b1])
+            continue
+        n = min(a1 - a0, b1 - b0)
+        # a cut word stands at the start (or the end) of what a copy holds, next to what it shares
+        from_end = b0 == 0 and b1 < len(words)
+        first = a1 - n if from_end else a0
+        paired = words[b1 - n : b1] if from_end else words[b0 : b0 + n]
+        votes += [(first + k, _whole(lead[first + k], w)) for k, w in enumerate(paired)]
+        more = words[b0 : b1 - n] if from_end else words[b0 + n : b1]
+        if more:
+            rest.append((first if from_end else first + n, more))
+    return votes, rest
+
+
+def leading(texts: Iterable[str]) -> str:
+    """The longest text, of equally long ones the greatest."""
+    return max(texts, key=lambda t: (len(t), t))
+
+
+def elect(lead: str, votes: dict[str, float]) -> str:
+    """Word of a column: most votes by weight and length; the votes of a cut lead go to the word that completes it."""
+    longer = {w: v for w, v in votes.items() if w != lead and _whole(w, lead) == w}
+    if longer:
+        best = max(longer.items(), key=lambda kv: (kv[1], kv[0]))[0]
+        votes = votes | {best: votes[best] + votes.get(lead, 0.0)}
+    return max(votes.items(), key=lambda kv: (kv[1], kv[0]))[0]
 
 
 def consensus_of(texts: Sequence[str], weights: Sequence[float]) -> str:
-    """Consensus of some texts, the longest aligned first."""
-    c = Consensus()
-    for text, weight in sorted(zip(texts, weights), key=lambda tw: (-len(tw[0]), tw[0])):
-        c.add(text, weight)
-    return " ".join(c.tokens())
+    """Consensus of some texts, whatever their order."""
+
+    def grow(held: dict[str, float]) -> list[str]:
+        lead = leading(held).split()
+        columns: list[dict[str, float]] = [defaultdict(float) for _ in lead]
+        between: dict[int, dict[str, float]] = defaultdict(lambda: defaultdict(float))
+        for text, weight in held.items():
+            votes, rest = heard(lead, text.split())
+            for k, word in votes:
+                columns[k][word] += weight * len(word)
+            for k, words in rest:
+                between[k][" ".join(words)] += weight
+        out: list[str] = []
+        for k in range(len(lead) + 1):
+            if k in between:
+                out += grow(between[k])
+            if k < len(lead):
+                out.append(elect(lead[k], columns[k]))
+        return out
+
+    held: dict[str, float] = defaultdict(float)
+    for text, weight in zip(texts, weights):
+        held[" ".join(text.split())] += weight
+    return " ".join(grow(held)) if held else ""
 
 
 def consensus_distance(text: str, consensus: str) -> int:
@@ -188,41 +220,82 @@ def consensus_distance(text: str, consensus: str) -> int:
     if text == consensus:
         return 0
     a, b = text.split(), consensus.split()
-    if consensus.startswith(text) or consensus.endswith(text):
-        return len(consensus) - len(text)
-    out = 0
-    for kind, a0, a1, b0, b1 in align(a, b):
-        if kind != "equal":
-            out += sum(map(len, a[a0:a1])) + sum(map(len, b[b0:b1]))
-    return out
+    return sum(sum(map(len, a[a0:a1])) + sum(map(len, b[b0:b1])) for equal, a0, a1, b0, b1 in align(a, b) if not equal)
 
 
-def _merge_sorted(rows: DataFrame) -> DataFrame:
-    """(group_id, chunk, text, weight), sorted within partitions -> one consensus per group and chunk."""
+def _small_groups(rows: DataFrame) -> DataFrame:
+    """(group_id, text, weight) of groups that a task may hold -> (group_id, consensus)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None
+        held: str | None = None
         texts: list[str] = []
         weights: list[float] = []
         for batch in batches:
-            out: list[tuple[str, str, float]] = []
-            for group, chunk, text, weight in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (group, chunk) != held:
-                    if held:
-                        out.append((held[0], consensus_of(texts, weights), sum(weights)))
-                    held, texts, weights = (group, chunk), [], []
+            out: list[tuple[str, str]] = []
+            for group, text, weight in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if group != held:
+                    if held is not None:
+                        out.append((held, consensus_of(texts, weights)))
+                    held, texts, weights = group, [], []
                 texts.append(text)
                 weights.append(weight)
             yield _batch(out)
-        if held:
-            yield _batch([(held[0], consensus_of(texts, weights), sum(weights))])
+        if held is not None:
+            yield _batch([(held, consensus_of(texts, weights))])
 
-    def _batch(out: list[tuple[str, str, float]]) -> pa.RecordBatch:
-        columns = list(zip(*out)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.float64())], names=["group_id", "text", "weight"])
+    def _batch(out: list[tuple[str, str]]) -> pa.RecordBatch:
+        columns = list(zip(*out)) or [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string())], names=["group_id", "consensus"])
 
-    sorted_rows = rows.repartition("group_id", "chunk").sortWithinPartitions("group_id", "chunk").select("group_id", "chunk", "text", "weight")
-    return sorted_rows.mapInArrow(run, "group_id string, text string, weight double")
+    return rows.repartition("group_id").sortWithinPartitions("group_id").select("group_id", "text", "weight").mapInArrow(run, "group_id string, consensus string")
+
+
+def _large_groups(rows: DataFrame) -> DataFrame:
+    """The same by rounds: (group_id, text, weight) -> (group_id, consensus), no group gathered in a task.
+
+    A round aligns every text to the leading one of its place and passes what
+    found no column on to the next round, under a longer place. Places and
+    columns are numbered so that their order is the order of the words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for group, place, text, weight, lead in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                tokens = lead.split()
+                votes, rest = heard(tokens, text.split())
+                out += [(group, f"{place}{k:09d}b", tokens[k], word, None, weight * len(word)) for k, word in votes]
+                out += [(group, f"{place}{k:09d}a", None, None, " ".join(words), weight) for k, words in rest]
+            columns = list(zip(*out)) or [()] * 6
+            kinds = [pa.string()] * 5 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["group_id", "place", "lead", "word", "text", "weight"])
+
+    schema = "group_id string, place string, lead string, word string, text string, weight double"
+    # texts are compared as their words stand, blanks do not count
+    open_ = rows.select("group_id", F.lit("").alias("place"), "text", "weight")
+    words = None
+    while True:
+        lead = open_.groupBy("group_id", "place").agg(F.max(F.struct(F.length("text").alias("n"), "text"))["text"].alias("lead"))
+        heard_ = cut_lineage(open_.join(lead, ["group_id", "place"]).select("group_id", "place", "text", "weight", "lead").mapInArrow(run, schema), "heard")
+        votes = heard_.filter("word is not null")
+        words = votes if words is None else words.unionByName(votes)
+        left = heard_.filter("text is not null")
+        if left.isEmpty():
+            break
+        open_ = left.groupBy("group_id", "place", "text").agg(F.sum("weight").alias("weight"))
+    votes = words.groupBy("group_id", "place", "lead", "word").agg(F.sum("weight").alias("weight"))
+    completes = (F.length("word") > F.length("lead")) & (F.col("word").startswith(F.col("lead")) | F.col("word").endswith(F.col("lead")))
+    most = F.max(F.struct("weight", "word"))
+    column = votes.groupBy("group_id", "place").agg(
+        F.max(F.when(completes, F.struct("weight", "word"))).alias("longer"),
+        F.coalesce(F.max(F.when(F.col("word") == F.col("lead"), F.col("weight"))), F.lit(0.0)).alias("cut"),
+        most.alias("any"),
+        F.max(F.when(~completes, F.struct("weight", "word"))).alias("other"),
+    )
+    joined = F.struct((F.col("longer.weight") + F.col("cut")).alias("weight"), F.col("longer.word").alias("word"))
+    elected = F.when(F.col("longer").isNull(), F.col("any.word")).otherwise(F.greatest(joined, F.col("other"))["word"])
+    told = column.select("group_id", "place", elected.alias("word"))
+    return told.groupBy("group_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))), lambda x: x["word"]), " ").alias("consensus"))
 
 
 def consensus_sources(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -235,21 +308,17 @@ def consensus_sources(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
     table gives no rows.
     """
     says = F.pandas_udf(lambda s: s.map(clean_text), "string")
-    said = rows.select("group_id", "id", says(F.coalesce("text", F.lit(""))).alias("text")).filter("text <> '' and group_id is not null and id is not null")
+    said = cut_lineage(rows.select("group_id", "id", says(F.coalesce("text", F.lit(""))).alias("text")).filter("text <> '' and group_id is not null and id is not null"), "said")
     level = said.groupBy("group_id", "text").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    while True:
-        sized = level.join(level.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")), "group_id")
-        chunked = sized.withColumn("chunk", F.pmod(F.xxhash64("text"), F.ceil(F.col("n") / chunk)))
-        most = level.groupBy("group_id").count().agg(F.max("count")).first()[0] or 0
-        level = _merge_sorted(chunked)
-        if most <= chunk:
-            break
-        level = level.groupBy("group_id", "text").agg(F.sum("weight").alias("weight"))
+    large = said.groupBy("group_id").agg(F.count_distinct("text").alias("n")).filter(F.col("n") > chunk).select("group_id")
+    if large.isEmpty():
+        wanted = _small_groups(level)
+    else:
+        wanted = _small_groups(level.join(large, "group_id", "left_anti")).unionByName(_large_groups(level.join(large, "group_id", "left_semi")))
 
     @F.pandas_udf("long")
     def distance(text: pd.Series, consensus: pd.Series) -> pd.Series:
         return pd.Series([consensus_distance(a, b) for a, b in zip(text, consensus)], dtype="int64")
 
-    wanted = level.select("group_id", F.col("text").alias("consensus"))
     near = said.join(wanted, "group_id").withColumn("far", distance("text", "consensus"))
     return near.groupBy("group_id").agg(F.min(F.struct("far", "id"))["id"].alias("source_id"))

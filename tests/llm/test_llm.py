@@ -129,11 +129,43 @@ def test_consensus_sources(spark):
     rows = [("g", "full", FULL), ("g", "cut", FULL[:60]), ("g", "pad", FULL[:60] + " . . . ."), ("g", "none", "n/a"), ("g", "null", None), ("e", "e1", " "), ("e", "e2", "—"), ("t", "t2", "same words"), ("t", "t1", "same  words"), (None, "q", "x")]
     rows += [("big", f"b{i:04d}", FULL[: rng.randrange(20, 120)] + f" {'.' * 9}") for i in range(300)] + [("big", "best", FULL)]
     df = spark.createDataFrame(rows, "group_id string, id string, text string").withColumn("chunk", F.lit("clash"))
-    got = {r["group_id"]: r["source_id"] for r in survivor.consensus_sources(df, chunk=16).collect()}
-    assert got == {"g": "full", "t": "t1", "big": "best"}
+    for chunk in (1, 16, 1000):
+        got = {r["group_id"]: r["source_id"] for r in survivor.consensus_sources(df, chunk=chunk).collect()}
+        assert got == {"g": "full", "t": "t1", "big": "best"}
     assert survivor.consensus_sources(df.limit(0)).count() == 0
 
 
+def test_large_groups_have_the_same_consensus(spark):
+    rng = random.Random(8)
+    rows = []
+    for g in range(12):
+        whole = [f"w{rng.randrange(60)}" for _ in range(rng.randrange(15, 50))]
+        for i in range(rng.randrange(2, 40)):
+            words = [w if rng.random() > 0.08 else f"x{rng.randrange(9)}" for w in whole]
+            words[rng.randrange(len(words)) : rng.randrange(len(words)) + 1] = [f"y{k}" for k in range(rng.randrange(3))]
+            text = " ".join(words) or "w"
+            rows.append((f"g{g}", f"i{g}-{i}", text[rng.randrange(9) : len(text) - rng.randrange(12)].strip()))
+    df = spark.createDataFrame(rows, "group_id string, id string, text string")
+    a, b = ({r["group_id"]: r["source_id"] for r in survivor.consensus_sources(df, chunk=c).collect()} for c in (1, 1000))
+    assert a == b and len(a) == 12
+    level = df.groupBy("group_id", "text").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    small, large = ({r["group_id"]: r["consensus"] for r in f(level).collect()} for f in (survivor._small_groups, survivor._large_groups))
+    assert small == large
+
+
+def test_common_tokens_are_a_longest_subsequence():
+    rng = random.Random(9)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(14))] for _ in range(2))
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+        pairs = survivor.common_tokens(a, b)
+        assert len(pairs) == table[-1, -1] and all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+
+
 def test_alignment_of_very_long_texts_ends():
     a, b = " ".join(f"w{i}" for i in range(9000)), " ".join(f"v{i % 3000}" for i in range(9000))
     start = time.time()
