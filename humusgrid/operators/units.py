@@ -15,9 +15,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from humusgrid.session import cut_lineage
+
 # Unit -> (kind of quantity, factor and offset to the kind's base
 # unit, spellings). A spelling is written as number_form() would leave it.
 UNITS: dict[str, tuple[str, float, float, str]] = {
@@ -163,7 +165,7 @@ def edit_cost(a: str, b: str) -> float:
 
 def match_spelling(text: str | None, fuzzy: bool = True) -> list[str]:
     """Units that a spelling can stand for; none when nothing or no single best fits."""
-    if text is None or not text.strip() or len(text) > 80:
+    if text is None or not text.strip():
         return []
     form = written_form(text)
     spellings, index = _known()
@@ -177,7 +179,11 @@ def match_spelling(text: str | None, fuzzy: bool = True) -> list[str]:
         for known in index.get(gram, ()):
             shared[known] += 1
     best: dict[float, set[str]] = defaultdict(set)
+    weight = sum(ch.isalnum() for ch in form)
     for known, n in shared.items():
+        # letters that the known spelling has no room for cost one each at least
+        if weight - len(known) > max(0.5, 0.15 * max(len(form), len(known))):
+            continue
         if 2 * n >= 0.6 * (len(grams) + len(known) + 1) or n >= len(known) - 1:
             cost = edit_cost(form, known)
             if cost <= max(0.5, 0.15 * max(len(form), len(known))):
@@ -188,52 +194,62 @@ def match_spelling(text: str | None, fuzzy: bool = True) -> list[str]:
     return sorted(found) if len({UNITS[u][0] for u in found}) == len(found) else []
 
 
-def find_unit(text: str | None, kind: str | None, whole: bool) -> str | None:
-    """Unit of the wanted kind stated by a text.
+def stated_units(text: str | None, whole: bool) -> dict[str, str]:
+    """Kind of quantity -> unit that a text states.
 
     whole: the text is nothing but the unit (a unit column, what follows a
     number). Otherwise (a column header) brackets, then what follows the last
     comma or colon, then the last words are read, longest first; bare last
     words must be a known spelling.
     """
-    if text is None or kind is None:
-        return None
+    out: dict[str, str] = {}
+    if text is None:
+        return out
 
-    def of(part: str, fuzzy: bool = True) -> str | None:
-        return next((u for u in match_spelling(part, fuzzy) if UNITS[u][0] == kind), None)
+    def read(part: str, fuzzy: bool = True) -> None:
+        for unit in match_spelling(part, fuzzy):
+            out.setdefault(UNITS[unit][0], unit)
 
     if whole:
-        return of(text)
+        read(text)
+        return out
     parts = [m[1] or m[2] for m in re.finditer(r"\(((?:[^()]|\([^()]*\))*)\)|\[([^\[\]]*)\]", text)]
     parts += [text[m.end() :] for m in re.finditer(r"[,:;]\s+", text)]
     for part in reversed(parts):
-        if unit := of(part):
-            return unit
+        read(part)
     words = text.split()
-    for n in range(min(5, len(words) - 1), 0, -1):
-        if unit := of(" ".join(words[-n:]), fuzzy=False):
-            return unit
-    return None
+    # longer endings than the longest known spelling can be written are none
+    most = 3 * max(map(len, _known()[0]))
+    n, letters = 0, 0
+    while n < len(words) - 1 and letters <= most:
+        n += 1
+        letters += sum(ch.isalnum() for ch in words[-n]) if words[-n].lower() not in ("per", "на") else 0
+    for k in range(n, 0, -1):
+        read(" ".join(words[-k:]), fuzzy=False)
+    return out
 
 
-def alias_dictionary(spellings: DataFrame, whole: bool = True) -> DataFrame:
-    """(spelling, kind) distinct -> (spelling, kind, unit, factor, offset).
+def find_unit(text: str | None, kind: str | None, whole: bool) -> str | None:
+    """Unit of the wanted kind stated by a text, as stated_units() reads it."""
+    return stated_units(text, whole).get(kind)
+
 
-    One row per distinct spelling that stands for a unit of the kind; null and
-    blank spellings have none.
+def alias_dictionary(spellings: DataFrame) -> DataFrame:
+    """(spelling, whole) -> (spelling, whole, units), units: kind -> (unit, factor, offset).
+
+    One row per distinct spelling that states any unit; null spellings have none.
     """
-    schema = "spelling string, kind string, unit string, factor double, offset double"
+    schema = "spelling string, whole boolean, units map<string, struct<unit: string, factor: double, offset: double>>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            units = [find_unit(s, k, whole) for s, k in zip(batch["spelling"], batch["kind"])]
-            out = batch.assign(unit=units).dropna(subset=["unit"])
-            out["factor"] = [UNITS[u][1] for u in out["unit"]]
-            out["offset"] = [UNITS[u][2] for u in out["unit"]]
-            yield out[["spelling", "kind", "unit", "factor", "offset"]]
+            rows = []
+            for spelling, whole in zip(batch["spelling"], batch["whole"]):
+                if found := stated_units(spelling, whole):
+                    rows.append((spelling, whole, {kind: {"unit": u, "factor": UNITS[u][1], "offset": UNITS[u][2]} for kind, u in found.items()}))
+            yield pd.DataFrame(rows, columns=["spelling", "whole", "units"])
 
-    distinct = spellings.select("spelling", "kind").filter("spelling is not null and kind is not null").distinct()
-    return distinct.mapInPandas(run, schema)
+    return spellings.select("spelling", "whole").filter("spelling is not null").distinct().mapInPandas(run, schema)
 
 
 # Fixed value: a number with decimal point or comma, perhaps with an exponent, and what follows it.
@@ -269,12 +285,39 @@ def property_kinds(definitions: DataFrame) -> DataFrame:
     return mapped.join(units, "canonical").groupBy("property_id").agg(*[F.min(c).alias(c) for c in ("canonical", "kind", "to_base", "base_offset")])
 
 
-def _resolve(rows: DataFrame, column: str, prefix: str, whole: bool) -> DataFrame:
-    """Join the alias dictionary of one text column to all rows."""
-    aliases = alias_dictionary(rows.select(F.col(column).alias("spelling"), "kind"), whole)
-    named = aliases.select(F.col("spelling").alias(f"{prefix}_spelling"), F.col("kind").alias(f"{prefix}_kind"), *[F.col(c).alias(f"{prefix}_{c}") for c in ("unit", "factor", "offset")])
-    on = (rows[column] == named[f"{prefix}_spelling"]) & (rows["kind"] == named[f"{prefix}_kind"])
-    return rows.join(named, on, "left").drop(f"{prefix}_spelling", f"{prefix}_kind")
+def _raw_rows(candidates: DataFrame) -> DataFrame:
+    """Number and the three texts of a record in which its unit may stand."""
+    return candidates.select(
+        "candidate_id",
+        "property_id",
+        F.coalesce(F.when(~F.isnan("value_num"), F.col("value_num")), number_of(F.col("value_text"))).alias("value_raw"),
+        F.col("unit_raw").alias("in_column"),
+        unit_text_of(F.col("value_text")).alias("in_value"),
+        F.col("property_header_raw").alias("in_header"),
+    )
+
+
+def _spellings(rows: DataFrame) -> DataFrame:
+    """(spelling, whole) of every text of the rows that may state a unit, in one reading."""
+    told = F.array(*[F.struct(F.col(c).alias("spelling"), F.lit(whole).alias("whole")) for c, whole in (("in_column", True), ("in_value", True), ("in_header", False))])
+    return rows.select(F.explode(told).alias("s")).select("s.spelling", "s.whole").filter("spelling is not null").distinct()
+
+
+def _look_up(rows: DataFrame, aliases: DataFrame, columns: dict[str, bool]) -> DataFrame:
+    """Join the one alias dictionary to all rows, once for each text column: adds struct `unit_<column>` of the row's kind."""
+    for column, whole in columns.items():
+        named = aliases.filter(F.col("whole") == whole).select(F.col("spelling").alias(f"_{column}"), F.col("units").alias(f"_units_{column}"))
+        rows = rows.join(named, rows[column] == named[f"_{column}"], "left")
+        rows = rows.withColumn(f"unit_{column}", F.try_element_at(F.col(f"_units_{column}"), F.col("kind"))).drop(f"_{column}", f"_units_{column}")
+    return rows
+
+
+def _converted(candidates: DataFrame, aliases: DataFrame, kinds: DataFrame) -> DataFrame:
+    rows = _look_up(_raw_rows(candidates).join(kinds, "property_id", "left"), aliases, {"in_column": True, "in_value": True, "in_header": False})
+    unit = F.coalesce("unit_in_column", "unit_in_value", "unit_in_header")
+    rows = rows.withColumn("stated", unit)
+    base = F.col("value_raw") * F.col("stated.factor") + F.col("stated.offset")
+    return rows.withColumn("value_canonical", (base - F.col("base_offset")) / F.col("to_base"))
 
 
 def convert_measurements(candidates: DataFrame, definitions: DataFrame) -> DataFrame:
@@ -291,28 +334,9 @@ def convert_measurements(candidates: DataFrame, definitions: DataFrame) -> DataF
     nulls; repeated rows come out once each; an empty table gives no rows; only
     the named columns are read.
     """
-    kinds = property_kinds(definitions)
-    rows = candidates.select(
-        "candidate_id",
-        "property_id",
-        F.coalesce(F.when(~F.isnan("value_num"), F.col("value_num")), number_of(F.col("value_text"))).alias("value_raw"),
-        F.col("unit_raw").alias("in_column"),
-        unit_text_of(F.col("value_text")).alias("in_value"),
-        F.col("property_header_raw").alias("in_header"),
-    ).join(kinds, "property_id", "left")
-    rows = _resolve(rows, "in_column", "c", True)
-    rows = _resolve(rows, "in_value", "v", True)
-    rows = _resolve(rows, "in_header", "h", False)
-    pick = {c: F.coalesce(F.col(f"c_{c}"), F.col(f"v_{c}"), F.col(f"h_{c}")) for c in ("unit", "factor", "offset")}
-    base = F.col("value_raw") * pick["factor"] + pick["offset"]
-    return rows.select(
-        "candidate_id",
-        "property_id",
-        pick["unit"].alias("unit"),
-        F.col("canonical").alias("canonical_unit"),
-        "value_raw",
-        ((base - F.col("base_offset")) / F.col("to_base")).alias("value_canonical"),
-    )
+    aliases = cut_lineage(alias_dictionary(_spellings(_raw_rows(candidates))), "aliases")
+    rows = _converted(candidates, aliases, property_kinds(definitions))
+    return rows.select("candidate_id", "property_id", F.col("stated.unit").alias("unit"), F.col("canonical").alias("canonical_unit"), "value_raw", "value_canonical")
 
 
 def newest_normalization(normalization: DataFrame) -> DataFrame:
@@ -337,17 +361,19 @@ def wrong_normalizations(candidates: DataFrame, normalization: DataFrame, defini
     none. Repeated candidate rows count as one record, the one converting to the
     smallest value.
     """
+    stored = newest_normalization(normalization)
+    spelled = normalization.select(F.col("unit_normalized").alias("spelling"), F.lit(True).alias("whole")).filter("spelling is not null").distinct()
+    aliases = cut_lineage(alias_dictionary(_spellings(_raw_rows(candidates)).unionByName(spelled)), "aliases")
     raw = (
-        convert_measurements(candidates, definitions)
+        _converted(candidates, aliases, property_kinds(definitions))
         .filter("value_canonical is not null and candidate_id is not null")
         .groupBy("candidate_id")
-        .agg(F.min(F.struct("value_canonical", "property_id")).alias("m"))
-        .select("candidate_id", "m.value_canonical", "m.property_id")
+        .agg(F.min(F.struct("value_canonical", "property_id", "kind", "to_base", "base_offset")).alias("m"))
+        .select("candidate_id", "m.value_canonical", "m.kind", "m.to_base", "m.base_offset")
     )
-    rows = raw.join(newest_normalization(normalization), "candidate_id").join(property_kinds(definitions), "property_id")
-    rows = _resolve(rows, "unit_normalized", "s", True)
-    stored = (F.col("value_normalized") * F.col("s_factor") + F.col("s_offset") - F.col("base_offset")) / F.col("to_base")
-    rows = rows.withColumn("stored_canonical", stored)
+    rows = _look_up(raw.join(stored, "candidate_id"), aliases, {"unit_normalized": True})
+    back = F.col("value_normalized") * F.col("unit_unit_normalized.factor") + F.col("unit_unit_normalized.offset")
+    rows = rows.withColumn("stored_canonical", (back - F.col("base_offset")) / F.col("to_base"))
     same = F.abs(F.col("stored_canonical") - F.col("value_canonical")) <= tolerance * F.abs(F.col("value_canonical"))
     given = F.col("value_normalized").isNotNull() & ~F.isnan("value_normalized")
     return rows.filter(~(given & F.coalesce(same, F.lit(False)))).select("candidate_id", "value_canonical", "stored_canonical")

@@ -31,6 +31,16 @@ def test_orphans_cases(spark):
     assert report[("2024-01", "missing")] == 3 and report[(None, "missing")] == 1
 
 
+def test_references_between_two_lives_of_a_parent(spark):
+    parent = spark.createDataFrame(
+        [("k", DAY[0], DAY[10]), ("k", DAY[20], DAY[25]), ("o", DAY[0], DAY[5]), ("o", DAY[9], None), ("n", None, DAY[3]), ("k", DAY[0], DAY[10]), ("b", DAY[8], DAY[2])], "key string, since timestamp, until timestamp"
+    )
+    rows = [("in", "k", 5), ("edge", "k", 10), ("gap", "k", 15), ("back", "k", 22), ("after", "k", 27), ("o gap", "o", 7), ("o on", "o", 27), ("n on", "n", 1), ("n after", "n", 4), ("b", "b", 9)]
+    child = spark.createDataFrame([(i, k, DAY[d]) for i, k, d in rows] + [("none", "k", None)], "id string, ref string, at timestamp")
+    got = {r["child_key"]: r["state"] for r in orphan_references(child, parent, REF).collect()}
+    assert got == {k: "deleted" for k in ("gap", "after", "o gap", "n after", "b")}
+
+
 def test_orphan_plan_merges_sorted_sides(spark):
     parent = spark.range(10).select(F.col("id").cast("string").alias("key"), F.lit(DAY[0]).alias("since"), F.lit(None).cast("timestamp").alias("until"))
     child = parent.select(F.col("key").alias("id"), F.col("key").alias("ref"), F.col("since").alias("at"))
@@ -52,6 +62,12 @@ def test_no_unit(text):
     assert units.match_spelling(text) == []
 
 
+def test_units_in_long_texts():
+    assert units.match_spelling("mg/kg" + " " * 500) == ["mg/kg"] and units.match_spelling("(" * 50 + "mg/kg" + ")" * 50) == ["mg/kg"]
+    assert units.find_unit("Exchangeable potassium of the upper layer " * 400 + "mg / 100 g", "mass_fraction", False) == "mg/100g"
+    assert units.match_spelling("x" * 1_000_000) == [] and units.match_spelling("mg/kg " * 20_000) == []
+
+
 def test_headers_state_units_of_their_kind_only():
     assert units.find_unit("Available K", "mass_fraction", False) is None
     assert units.find_unit("Soil temperature, К", "temperature", False) == "K"
