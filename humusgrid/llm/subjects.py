@@ -39,12 +39,12 @@ SEEDS, SEED_WORDS = 6_000, 8
 #: Features by which the starting paragraphs are compared: words by hash, so that their number is fixed.
 FEATURES = 2048
 #: Words that make up more than this share of all words tell no subject.
-COMMON = 0.01
+COMMON = 0.003
 #: Words rarer than this many uses, or than this share of all words, are not learnt from; so there are at most 1 / RATE words.
 RARE, RATE = 3, 1e-6
 #: Topics of each subject, and topics more for what belongs to no subject.
-TOPICS, BACKGROUND = 5, 14
-PASSES, INNER, INNER_LAST = 4, 3, 12
+TOPICS, BACKGROUND = 4, 14
+PASSES, INNER, INNER_LAST = 3, 3, 6
 ALPHA, ETA = 0.1, 0.01
 TOP_TERMS = 40
 #: Uses of a topic's top terms in one labelled document that count, at most, and the uses over all that a topic needs to be judged by labels.
@@ -183,13 +183,19 @@ def known_words(read: DataFrame, vocabulary: Broadcast) -> DataFrame:
     return read.filter("words is not null").select("id", "words").mapInArrow(run, f"id {kind}, words array<int>")
 
 
+def word_shares(beta: np.ndarray) -> np.ndarray:
+    """topic x word -> word x topic, rows adding up to one."""
+    return np.ascontiguousarray((beta / beta.sum(axis=0)).T.astype(np.float32))
+
+
 def infer(words: np.ndarray, start: np.ndarray, beta: np.ndarray, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(paragraph numbers, words, topic shares of the words), for paragraphs of equal length together.
 
     words: word numbers of all paragraphs; start: first word of each; beta:
-    word x topic. Mean-field updates of the proportions, in the form that needs
-    no digamma (maximum a posteriori). Paragraphs of one length make a block, so
-    that an update is two batched products and the word topics are read once.
+    word x topic, each word's row adding up to one (its scale cancels out).
+    Mean-field updates of the proportions, in the form that needs no digamma
+    (maximum a posteriori). Paragraphs of one length make a block, so that an
+    update is two batched products and the word topics are read once.
     """
     size = np.diff(np.append(start, len(words)))
     order = np.argsort(size, kind="stable")
@@ -197,9 +203,11 @@ def infer(words: np.ndarray, start: np.ndarray, beta: np.ndarray, rounds: int) -
     for rows in np.split(order, edges):
         own = words[start[rows][:, None] + np.arange(size[rows[0]])]
         by_word = beta[own]
-        theta = np.full((len(rows), 1, beta.shape[1]), 1.0 / beta.shape[1], np.float32)
         turned = by_word.transpose(0, 2, 1)
-        for _ in range(rounds):
+        # the first update, from equal proportions
+        theta = by_word.sum(axis=1, keepdims=True) + np.float32(ALPHA)
+        theta /= theta.sum(axis=2, keepdims=True)
+        for _ in range(rounds - 1):
             norm = 1.0 / (theta @ turned + 1e-30)
             theta *= norm @ by_word
             theta += ALPHA
@@ -324,7 +332,7 @@ def term_uses(bags: DataFrame, held: DataFrame, beta: np.ndarray) -> tuple[list,
     marked = np.zeros((n_words, n_topics), np.float32)
     for k, row in enumerate(top_terms(beta)):
         marked[row, k] = 1
-    sent = bags.sparkSession.sparkContext.broadcast((np.ascontiguousarray(beta.T.astype(np.float32)), marked))
+    sent = bags.sparkSession.sparkContext.broadcast((word_shares(beta), marked))
     kind = bags.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,8 +408,7 @@ def fit_subjects(documents: DataFrame, subjects: DataFrame, labels: DataFrame, i
     topics = start_topics(bags, n_words, uses, TOPICS * max(len(names), 1) + BACKGROUND)
     for _ in range(passes):
         beta = topics + ETA * topics.sum(axis=1, keepdims=True) / n_words + 1e-12
-        beta = (beta / beta.sum(axis=1, keepdims=True)).astype(np.float32)
-        now = spark.sparkContext.broadcast(np.ascontiguousarray(beta.T))
+        now = spark.sparkContext.broadcast(word_shares(beta / beta.sum(axis=1, keepdims=True)))
         topics = expected_counts(bags, now, INNER)
         now.unpersist()
     beta = topics + ETA + 1e-12
@@ -448,7 +455,7 @@ def document_subjects(documents: DataFrame, subjects: DataFrame, labels: DataFra
     for k, s in enumerate(model.subjects):
         if s is not None:
             to_subject[k, names.index(s)] = 1
-    sent = spark.sparkContext.broadcast((np.ascontiguousarray(model.beta.T.astype(np.float32)), to_subject, names))
+    sent = spark.sparkContext.broadcast((word_shares(model.beta), to_subject, names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         beta, to_subject, names = sent.value
