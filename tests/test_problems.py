@@ -132,18 +132,65 @@ def test_regions_match_brute_force(spark):
     p = spark.createDataFrame(points, "id string, latitude double, longitude double").withColumn("name", F.lit("clash"))
     r = spark.createDataFrame(regions + bad + regions[:3], "name string, latitude double, longitude double, radius_km double").withColumn("id", F.lit("clash"))
     want = {(a[0], b[0]) for a in points for b in regions if _km(a, (b[0], b[1], b[2])) <= b[3]}
-    for block in (1000, 20):
-        got = [(x["id"], x["name"]) for x in spatial.points_in_regions(p, r, block).collect()]
+    for group, salted in ((1024, 100_000), (20, 7)):
+        before, spatial.POINTS = spatial.POINTS, salted
+        got = [(x["id"], x["name"]) for x in spatial.points_in_regions(p, r, group).collect()]
+        spatial.POINTS = before
         assert len(got) == len(set(got)) and set(got) == want
     assert spatial.points_in_regions(p, r.limit(0)).count() == 0 and spatial.points_in_regions(p.limit(0), r).count() == 0
 
 
 def test_slabs_have_ordered_edges():
-    s = spatial.build_slabs(np.array([10.0, 12.0, 11.0]), np.array([0.0, 1.0, 0.5]), np.array([400.0, 300.0, 250.0]))
+    s = spatial.build_slabs([spatial.disc_edges(*d) for d in ((10.0, 0.0, 400.0), (12.0, 1.0, 300.0), (11.0, 0.5, 250.0))])
     for k in range(len(s.cuts) - 1):
         e = slice(s.first_edge[k], s.first_edge[k + 1])
         mid = s.west[e] + s.slope[e] / 2
         assert (np.diff(mid) >= 0).all() and len(mid) % 2 == 0
+        assert s.cover[s.first_edge[k] + k] == 0 == s.cover[s.first_edge[k + 1] + k]
+
+
+def test_many_overlapping_regions_stay_small():
+    rng = random.Random(4)
+    shapes = [spatial.disc_edges(55 + rng.uniform(-1, 1), 60 + rng.uniform(-2, 2), rng.uniform(50, 300)) for _ in range(1000)]
+    held = [spatial.build_slabs(shapes[k : k + spatial.SHAPES]) for k in range(0, 1000, spatial.SHAPES)]
+    assert sum(a.nbytes for s in held for a in (s.cuts, s.first_edge, s.west, s.slope, s.cover)) < 200_000_000
+    lat, lon = np.array([55.0, 56.2, 40.0]), np.array([60.0, 61.0, 60.0])
+    found = sum(len(s.locate(lat, lon, True)[0]) for s in held)
+    assert 300 < found < 2000
+
+
+def _in_ring(x, y, ring):
+    inside = False
+    for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]]):
+        if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+            inside = not inside
+    return inside
+
+
+def test_polygons_match_ray_casting(spark):
+    rng = random.Random(11)
+    polygons = []
+    for i in range(40):
+        cx, cy, size = rng.uniform(-150, 150), rng.uniform(-70, 70), rng.choice([0.5, 4.0, 20.0])
+        n = rng.randrange(3, 30)
+        ring = [(cx + size * rng.uniform(0.4, 1) * math.cos(2 * math.pi * k / n), cy + size * rng.uniform(0.4, 1) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+        hole = [(cx + size * 0.1 * a, cy + size * 0.1 * b) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
+        polygons.append((f"p{i % 30}", [ring + ring[:1], hole] if i % 3 == 0 else [ring]))
+    square = [(10.0, 10.0), (12.0, 10.0), (12.0, 12.0), (10.0, 12.0)]
+    polygons += [("sq", [square]), ("none", None), ("line", [[(0.0, 0.0), (1.0, 1.0)]]), (None, [square])]
+    points = [(f"a{i}", rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(400)]
+    points += [(f"b{i}", p[1][0][0][1] + rng.uniform(-3, 3), p[1][0][0][0] + rng.uniform(-3, 3)) for i, p in enumerate(polygons[:40] * 5)]
+    points += [("low", 10.0, 11.0), ("top", 12.0, 11.0), ("west", 11.0, 10.0), ("east", 11.0, 12.0), ("bad", None, 1.0), ("corner", 10.0, 10.0)]
+    want = set()
+    for i, y, x in points:
+        for name, rings in polygons:
+            if name and rings and y is not None and len(rings[0]) > 2 and _in_ring(x, y, rings[0][:-1] if rings[0][0] == rings[0][-1] else rings[0]) and not any(_in_ring(x, y, h) for h in rings[1:]):
+                want.add((i, name))
+    p = spark.createDataFrame(points, "id string, latitude double, longitude double")
+    q = spark.createDataFrame([(n, [[list(c) for c in r] for r in rs] if rs else None) for n, rs in polygons], "name string, rings array<array<array<double>>>").withColumn("lat", F.lit("clash"))
+    got = [tuple(r) for r in spatial.points_in_polygons(p, q).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+    assert {i for i, n in want if n == "sq"} >= {"low", "west"} and spatial.points_in_polygons(p, q.limit(0)).count() == 0
 
 
 def test_components_match_union_find(spark):
