@@ -1,6 +1,6 @@
 """One form for text that prints alike.
 
-Two forms are made. canonical_form: compatibility normalisation, composed; full
+Two forms are made, each once per distinct text of a table. canonical_form: compatibility normalisation, composed; full
 case folding; blanks mapped to single spaces; default-ignorable characters
 removed; look-alike letters of other scripts mapped to one letter. It is what
 texts are compared and grouped by. look_form: the same steps without what the
@@ -114,33 +114,52 @@ def look_text(col: Column) -> Column:
     return per_distinct(look_form)(col)
 
 
+def distinct_looks(texts: DataFrame) -> DataFrame:
+    """(text, look) of every distinct text of a column `text` that prints anything."""
+    return texts.filter("text is not null").select("text").distinct().withColumn("look", look_text(F.col("text"))).filter("look <> ''")
+
+
 def look_alike_pairs(df: DataFrame, id_col: str, text_col: str, scope_col: str | None = None) -> DataFrame:
     """Pairs of different ids whose stored texts print alike but differ in characters.
 
     Returns (id_a, id_b), id_a < id_b, each pair once. scope_col: only ids of
     the same value there are compared.
 
-    Candidates share the canonical form; of those the look must be equal. Groups
-    of one stored text are left out before any join, and copies of a row meet
-    once, so only texts that really vary are paired.
+    The form is made once per distinct text; forms of a single text are left
+    out, which leaves few. Of the others the texts of a form are paired, and
+    then their ids, so that copies of one text never meet each other: the work
+    grows with the pairs that come out. Letter case is seen, so the form that
+    decides is look_form, canonical_form without its folding of case.
 
     Defined results: null texts, texts without anything printed, null ids and
     (with a scope) null scopes make no pair; ids with several rows are compared
     by each of their texts; an empty table gives no rows; only the named columns
     are read.
     """
-    scope = F.col(scope_col) if scope_col else F.lit(None).cast("string")
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), scope.alias("scope"))
-    rows = rows.filter("id is not null and text is not null" + (" and scope is not null" if scope_col else "")).distinct()
-    rows = rows.withColumn("look", look_text(F.col("text"))).filter("look <> ''")
-    # canonical_form depends on the look alone, and is made of it once per distinct look
-    rows = rows.withColumn("form", F.xxhash64(canonical_text(F.col("look")), F.coalesce("scope", F.lit(""))))
-    # read three times below, so written once
-    rows = cut_lineage(rows, "looks")
-    key = ["form", "scope", "look"]
-    varied = rows.groupBy(*key).agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select(*key)
-    kept = rows.join(varied.withColumnsRenamed({k: f"v_{k}" for k in key}), (rows["form"] == F.col("v_form")) & rows["scope"].eqNullSafe(F.col("v_scope")) & (rows["look"] == F.col("v_look")), "left_semi")
-    a = kept.select("form", F.col("scope").alias("scope_a"), F.col("look").alias("look_a"), F.col("id").alias("id_a"), F.col("text").alias("text_a"))
-    b = kept.select("form", F.col("scope").alias("scope_b"), F.col("look").alias("look_b"), F.col("id").alias("id_b"), F.col("text").alias("text_b"))
-    pairs = a.join(b, "form").filter("scope_a <=> scope_b and look_a = look_b and id_a < id_b and text_a <> text_b")
-    return pairs.select("id_a", "id_b").distinct()
+    scope = F.col(scope_col) if scope_col else F.lit("")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), scope.alias("scope")).filter("id is not null and text is not null and scope is not null")
+    looks = distinct_looks(rows)
+    forms = looks.groupBy("look").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("look")
+    varied = cut_lineage(looks.join(forms, "look", "left_semi"), "varied")
+    kept = cut_lineage(rows.join(varied, "text").distinct(), "kept")
+    texts = kept.select("look", "scope", "text").distinct()
+    a, b = (texts.select("look", "scope", F.col("text").alias(f"text_{k}")) for k in "ab")
+    pairs = a.join(b, ["look", "scope"]).filter("text_a < text_b").drop("look")
+    first, second = (kept.select("scope", F.col("text").alias(f"text_{k}"), F.col("id").alias(f"id_{k}")) for k in "ab")
+    met = pairs.join(first, ["scope", "text_a"]).join(second, ["scope", "text_b"]).filter("id_a <> id_b")
+    return met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
+
+
+def look_classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, one_form, class_id, texts): every row with the form of its text.
+
+    class_id is the smallest text of the same look, the representative of its
+    class, and texts the number of different texts in the class: membership of
+    any number of copies without their pairs. Null texts, and texts that print
+    nothing, have nulls.
+    """
+    looks = cut_lineage(distinct_looks(df.select(F.col(text_col).alias("text"))), "looks")
+    classes = looks.groupBy("look").agg(F.min("text").alias("class_id"), F.count(F.lit(1)).alias("texts"))
+    named = looks.join(classes, "look").select(F.col("text").alias("_text"), F.col("look").alias("one_form"), "class_id", "texts")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.join(named, rows["text"] == named["_text"], "left").drop("_text")

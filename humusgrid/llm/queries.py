@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from humusgrid.llm.bpe import encode_corpus
-from humusgrid.llm.forms import canonical_text, look_alike_pairs, look_text
+from humusgrid.llm.forms import canonical_text, look_alike_pairs, look_classes
 from humusgrid.llm.leaks import leaked_items
 from humusgrid.llm.scans import noisy_texts, repaired_texts
 from humusgrid.llm.subjects import document_subjects
@@ -23,10 +23,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every title and label in one form, and its form to compare by."""
-    titles = load_table(spark, sf_dir, "document").select(F.lit("document.title").alias("field"), F.col("document_id").alias("row_id"), F.col("title").alias("text"))
-    labels = load_table(spark, sf_dir, "profile").select(F.lit("profile.profile_label").alias("field"), F.col("profile_id").alias("row_id"), F.col("profile_label").alias("text"))
-    return titles.unionByName(labels).select("field", "row_id", look_text(F.col("text")).alias("one_form"), canonical_text(F.col("text")).alias("compare_form"))
+    """Every title and label in one form, its form to compare by, and the representative of the texts that print like it."""
+    out = None
+    for name, table, id_col, text_col in (("document.title", "document", "document_id", "title"), ("profile.profile_label", "profile", "profile_id", "profile_label")):
+        rows = look_classes(load_table(spark, sf_dir, table), id_col, text_col)
+        part = rows.select(F.lit(name).alias("field"), F.col("id").alias("row_id"), "one_form", canonical_text(F.col("one_form")).alias("compare_form"), "class_id", "texts")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def scanned_fields(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame, str, str]]:

@@ -59,6 +59,16 @@ def test_look_alike_pairs_match_brute_force(spark):
     assert forms.look_alike_pairs(df.limit(0), "id", "text").count() == 0
 
 
+def test_look_classes(spark):
+    rows = [("1", "Café"), ("2", "Cafe\u0301"), ("3", "cafe"), ("4", None), ("5", " \u200b"), ("1", "Café"), (None, "Café ")]
+    df = spark.createDataFrame(rows, "id string, text string").withColumn("look", F.lit("clash"))
+    got = {(r["id"], r["text"]): (r["one_form"], r["class_id"], r["texts"]) for r in forms.look_classes(df, "id", "text").collect()}
+    assert forms.look_classes(df, "id", "text").count() == len(rows)
+    assert got[("1", "Café")] == got[("2", "Cafe\u0301")] == got[(None, "Café ")] == ("Café", "Cafe\u0301", 3)
+    assert got[("3", "cafe")] == ("cafe", "cafe", 1) and got[("4", None)] == got[("5", " \u200b")] == (None, None, None)
+    assert forms.look_classes(df.limit(0), "id", "text").count() == 0
+
+
 # --- 2: scanned pages
 
 PAGE = "Salt fluxes near Koso rise toward the sur-\n— 17 —\nSOIL LETTERS Vol. 3\nface in summers. The clay disperses afler\nrain, 3.1 against 2.2. Samples came from the layer 40-\n60 cm and the crust holds\nSOIL LETTERS Vol. 4   18\nfirm at horizon A1."
