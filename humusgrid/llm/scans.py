@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -47,7 +47,8 @@ DIGITS = "[0-9OolI|]{0,3}[0-9][0-9OolI|]{0,3}"
 PAGE = re.compile(rf"(?:[-–—]\s*{DIGITS}\s*[-–—]|\[\s*{DIGITS}\s*\]|(?:[СсPp]|[Сс]тр|pp|[Pp]age)\.?\s*{DIGITS}|[.·•|]?\s*[0-9]{{1,4}})")
 PAGE_LINE = re.compile(rf"^[ \t]*{PAGE.pattern}[ \t]*$", re.M)
 BESIDE = re.compile(r"^([0-9]{1,4})\s{2,}(\S.*)$|^(.*\S)\s{2,}([0-9]{1,4})$")
-UPPER_LINE = re.compile(r"^(?=[^\n]*[A-ZА-ЯЁ][^\na-zа-яё]{0,9}[A-ZА-ЯЁ])[^\n]{5,90}$", re.M)
+BESIDE_LINE = re.compile(r"^[ \t]*[0-9]{1,4}\s{2,}\S|\S\s{2,}[0-9]{1,4}[ \t]*$", re.M)
+UPPER_LINE = re.compile(r"^(?=[^\n]*[A-ZА-ЯЁ][^\na-zа-яё]{0,9}[A-ZА-ЯЁ])[^\n]{5,}$", re.M)
 BREAK = re.compile("([^\\W\\d_])([-\u2010\u2011\u00ac\u00ad])[ \\t]*$")
 JOINED = re.compile("(?<=[^\\W\\d_])[-\u2010\u2011\u00ac\u00ad][ \\t]*\n\\s*(?=[^\\W\\d_])")
 HYPHENS = ("-", "\u2010", "\u2011", "\u00ac", "\u00ad")
@@ -62,48 +63,101 @@ def signature(line: str) -> str:
 
 def alike(a: str, b: str) -> bool:
     """Signatures that differ by at most one letter in eight."""
-    limit = max(1, min(len(a), len(b)) // 8)
+    limit = allowed(min(len(a), len(b)))
     if abs(len(a) - len(b)) > limit:
         return False
     if a == b:
         return True
-    row = list(range(len(b) + 1))
+    # only the band about the diagonal can stay within the limit
+    row = {j: j for j in range(limit + 1)}
     for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-        if min(new) > limit:
+        new = {}
+        for j in range(max(0, i - limit), min(len(b), i + limit) + 1):
+            best = row.get(j, limit + 1) + 1
+            if j:
+                best = min(best, new.get(j - 1, limit + 1) + 1, row.get(j - 1, limit + 1) + (x != b[j - 1]))
+            new[j] = best
+        if min(new.values()) > limit:
             return False
         row = new
-    return row[-1] <= limit
+    return row.get(len(b), limit + 1) <= limit
+
+
+def allowed(length: int) -> int:
+    return max(1, length // 8)
+
+
+def pieces(s: str) -> list[str]:
+    """A signature in one piece more than alike ones may have edits: one piece at least stands whole in each of them."""
+    n = allowed(len(s)) + 1
+    edges = [len(s) * k // n for k in range(n + 1)]
+    return [s[x:y] for x, y in zip(edges, edges[1:]) if y > x]
 
 
 def repetitions(signs: dict[int, str]) -> list[list[int]]:
-    """Lines of alike signatures together. Each distinct signature meets the leading ones that begin or end like it."""
+    """Lines of alike signatures together, the most frequent signature leading; whichever share a piece are compared."""
     lines: dict[str, list[int]] = {}
     for i, s in signs.items():
         lines.setdefault(s, []).append(i)
     leading: dict[str, list[str]] = {}
+    sizes: set[int] = set()
     groups: dict[str, list[int]] = {}
     for s, own in sorted(lines.items(), key=lambda kv: (-len(kv[1]), kv[0])):
-        keys = (f"^{s[:4]}", f"{s[-4:]}$")
-        lead = next((t for key in keys for t in leading.get(key, ()) if alike(s, t)), None)
+        tried: set[str] = set()
+        lead = None
+        for key in (s[i : i + n] for n in sizes for i in range(len(s) - n + 1)):
+            for t in leading.get(key, ()):
+                if t not in tried:
+                    tried.add(t)
+                    if alike(s, t):
+                        lead = t
+                        break
+            if lead is not None:
+                break
         if lead is None:
             groups[s] = list(own)
-            for key in keys:
-                leading.setdefault(key, []).append(s)
+            for piece in pieces(s):
+                leading.setdefault(piece, []).append(s)
+                sizes.add(len(piece))
         else:
             groups[lead] += own
     return list(groups.values())
 
 
+def _classes() -> tuple[list[tuple[str, str]], dict[int, str]]:
+    """Pairs of letters to be read as one, and letter -> representative of the letters that scanners exchange for it."""
+    lead: dict[str, str] = {}
+
+    def find(ch: str) -> str:
+        while lead.setdefault(ch, ch) != ch:
+            ch = lead[ch]
+        return ch
+
+    for bad, good in MISREAD:
+        if len(bad) == len(good) == 1:
+            x, y = sorted((find(bad), find(good)))
+            lead[y] = x
+    wide = [(bad, good) if len(bad) > len(good) else (good, bad) for bad, good in MISREAD if len(bad) != len(good)]
+    return sorted(set(wide)), {ord(ch): find(ch) for ch in lead}
+
+
+WIDE, CLASS = _classes()
+
+
+def skeleton(sign: str) -> str:
+    """Signature without what scanners exchange: equal for a line and its misread copies."""
+    for two, one in WIDE:
+        sign = sign.replace(two, one)
+    return sign.translate(CLASS)
+
+
 @dataclass
 class Page:
     """Lines of a text and what they are."""
 
     lines: list[str]
     noise: dict[int, set[str]] = field(default_factory=dict)  # line -> kinds of noise
-    unsure: dict[int, str] = field(default_factory=dict)  # line -> signature of a heading that the corpus must confirm
+    unsure: dict[int, str] = field(default_factory=dict)  # line -> skeleton of a heading that the corpus must confirm
 
     def next_text(self, i: int, known: Iterable[str] = ()) -> int | None:
         """Next line of running text, over page edges."""
@@ -120,7 +174,7 @@ def read_page(text: str) -> Page:
     if len(lines) < 2:
         return page
     edges = PAGE_LINE.search(text) is not None
-    if not edges and not UPPER_LINE.search(text) and len(lines) < 4:
+    if not edges and not UPPER_LINE.search(text) and not BESIDE_LINE.search(text) and len(lines) < 4:
         return page
     bare = [s.strip() for s in lines]
     filled = [i for i, s in enumerate(bare) if s]
@@ -129,7 +183,7 @@ def read_page(text: str) -> Page:
     if edges:
         for i in filled:
             s = bare[i]
-            if len(s) <= 12 and PAGE.fullmatch(s) and 0 < place[i] < len(filled) - 1:
+            if PAGE.fullmatch(s) and 0 < place[i] < len(filled) - 1:
                 page.noise[i] = {"page_number"}
 
     def beside(i: int, step: int) -> str | None:
@@ -151,7 +205,7 @@ def read_page(text: str) -> Page:
     mixed: list[tuple[int, str]] = []
     for i in filled:
         s = bare[i]
-        if len(s) > 90 or i in page.noise:
+        if i in page.noise:
             continue
         m = BESIDE.match(s) if "  " in s or "\t" in s else None
         heading = (m[2] or m[3]) if m else s
@@ -191,7 +245,7 @@ def read_page(text: str) -> Page:
             if group is capital and beside(i, 1) is not None and (before(i) is not None or at_page_number(i)):
                 page.noise[i] = {"running_header"}
             elif group is mixed and (at_page_number(i) or heading != bare[i]):
-                page.unsure[i] = signs[i]
+                page.unsure[i] = skeleton(signs[i])
     for i, kinds in page.noise.items():
         if "running_header" in kinds and ("  " in bare[i] or "\t" in bare[i]) and BESIDE.match(bare[i]):
             kinds.add("page_number")
@@ -343,45 +397,58 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _corrections(word: str) -> set[str]:
-    """Words from which one or two misreadings make this one."""
-    once: set[str] = set()
-    spots = [(m.start(), bad, good) for bad, good in MISREAD for m in re.finditer(f"(?={re.escape(bad)})", word)]
-    for at, bad, good in spots:
-        once.add(word[:at] + good + word[at + len(bad) :])
-    twice: set[str] = set()
-    if len(spots) <= 12:
-        for a in range(len(spots)):
-            for b in range(len(spots)):
-                (p, x, g), (q, y, h) = spots[a], spots[b]
-                if p + len(x) <= q:
-                    twice.add(word[:p] + g + word[p + len(x) : q] + h + word[q + len(y) :])
-    return {w for w in once | twice if w.replace("-", "").isalpha()}
-
+def _spelled(word: str, undo: bool) -> Iterator[tuple[str, int, int]]:
+    """(word with one misreading undone or made, start and end of the place in it)."""
+    for bad, good in MISREAD:
+        old, new = (bad, good) if undo else (good, bad)
+        at = word.find(old)
+        while at >= 0:
+            yield word[:at] + new + word[at + len(old) :], at, at + len(new)
+            at = word.find(old, at + 1)
 
-def misread_words(words: DataFrame) -> DataFrame:
-    """(word, good): rare words and the vocabulary word they are misread from."""
-    schema = "word string, n bigint, mixed boolean, good string, edits int"
 
+def _pairs_of_forms(undo: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for word, n in zip(batch["word"], batch["n"]):
-                letters = sum(ch.isalpha() for ch in word)
-                if len(word) < 3 or len(word) > 40 or letters < 2 or "-" in word:
-                    continue
-                mixed = letters < len(word) or "ьi" in word
-                if mixed and letters < 0.5 * len(word) or not mixed and len(word) < 4:
-                    continue
-                rows += [(word, n, mixed, good, 1) for good in _corrections(word)]
-            yield pd.DataFrame(rows, columns=["word", "n", "mixed", "good", "edits"])
-
-    asked = words.mapInPandas(run, schema)
-    known = words.select(F.col("word").alias("good"), F.col("n").alias("n_good"))
-    hit = asked.join(known, "good").filter(F.col("n_good") >= F.when(F.col("mixed"), F.greatest(F.col("n"), F.lit(2))).otherwise(F.col("n") * RARE_BESIDE))
+                seen = set()
+                for form, start, end in _spelled(word, undo):
+                    if (form, start, end) not in seen:
+                        seen.add((form, start, end))
+                        rows.append((word, n, form, start, end))
+            yield pd.DataFrame(rows, columns=["word", "n", "form", "start", "end"])
+
+    return run
+
+
+def misread_words(words: DataFrame) -> DataFrame:
+    """(word, good): rare words and the vocabulary word they are misread from.
+
+    One misreading: the word with it undone is a known word. Two: the word with
+    one undone is a known word with one made, at another place; so both sides
+    are spelled once and joined, whatever the number of places.
+    """
+    letters = F.length(F.regexp_replace("word", r"[^\p{L}]", ""))
+    counted = words.select("word", "n", F.length("word").alias("size"), letters.alias("letters")).filter("size >= 3 and letters >= 2").filter(~F.contains(F.col("word"), F.lit("-")))
+    mixed = (F.col("letters") < F.col("size")) | F.contains(F.col("word"), F.lit("ьi"))
+    counted = counted.withColumn("mixed", mixed).filter(F.when(F.col("mixed"), F.col("letters") >= 0.5 * F.col("size")).otherwise(F.col("size") >= 4))
+    known = words.filter("n >= 2").filter(F.replace("word", F.lit("-"), F.lit("")).rlike(r"^\p{L}+$"))
+    # a correction is at most two letters shorter or longer, so much longer words have none
+    longest = known.agg(F.max(F.length("word"))).first()[0] or 0
+    asked = cut_lineage(counted.filter(F.col("size") <= longest + 2).select("word", "n").mapInPandas(_pairs_of_forms(True), _FORMS), "asked")
+    enough = F.when(F.col("mixed"), F.greatest(F.col("n"), F.lit(2))).otherwise(F.col("n") * RARE_BESIDE)
+    facts = counted.select("word", "mixed")
+    once = asked.select("word", "n", "form").join(known.select(F.col("word").alias("form"), F.col("n").alias("n_good")), "form").select("word", "n", F.col("form").alias("good"), "n_good")
+    made = known.select("word", "n").mapInPandas(_pairs_of_forms(False), _FORMS).select(F.col("word").alias("good"), F.col("n").alias("n_good"), "form", F.col("start").alias("s"), F.col("end").alias("e"))
+    twice = asked.join(made, "form").filter("end <= s or e <= start").select("word", "n", "good", "n_good")
+    hit = once.unionByName(twice).filter("n_good >= n and word <> good").join(facts, "word").filter(F.col("n_good") >= enough)
     return hit.groupBy("word").agg(F.max(F.struct("n_good", "good"))["good"].alias("good"))
 
 
+_FORMS = "word string, n bigint, form string, start int, end int"
+
+
 def _all_events(texts: DataFrame, misread: DataFrame) -> DataFrame:
     """Distinct (field, row_id, key, noise, question); key tells rows of one id apart."""
     spark = texts.sparkSession

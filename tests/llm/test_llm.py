@@ -111,6 +111,43 @@ def test_noise_over_tables(spark):
     assert scans.noisy_texts([("f", df.limit(0), "id", "t")]).count() == 0
 
 
+def test_headings_misread_at_both_ends_are_one():
+    a, b, c = "longtermchangeofmoistureprofiles", "1ongtermchangeofmoistureprofi1es".replace("1", "i"), "seasonalthawdepthsofpeatysoils"
+    assert sorted(map(sorted, scans.repetitions({0: a, 3: c, 7: b}))) == [[0, 7], [3]]
+    assert scans.skeleton("normal") == scans.skeleton("nonnal".replace("nn", "rnn")[:2] + "rrnal") and scans.skeleton("почва") == scans.skeleton("лочва") != scans.skeleton("почвы")
+
+
+def test_repetitions_match_comparing_all():
+    rng = random.Random(12)
+    for _ in range(60):
+        base = ["".join(rng.choice("abcde") for _ in range(rng.randrange(5, 40))) for _ in range(4)]
+        signs = {}
+        for i in range(25):
+            s = list(rng.choice(base))
+            for _ in range(rng.randrange(4)):
+                s[rng.randrange(len(s)) : rng.randrange(len(s)) + 1] = rng.choice("abcdef")
+            if len(s) >= 5:  # headings have as many letters
+                signs[i] = "".join(s)
+        lead: dict[str, list[int]] = {}
+        lines: dict[str, list[int]] = {}
+        for i, s in signs.items():
+            lines.setdefault(s, []).append(i)
+        for s, own in sorted(lines.items(), key=lambda kv: (-len(kv[1]), kv[0])):
+            if not any(scans.alike(s, t) for t in lead):
+                lead[s] = own
+        assert len(scans.repetitions(signs)) == len(lead)
+
+
+def test_words_of_many_misread_places(spark):
+    long = "нефтепродуктообеспечениеминерализованностипочвенногопокрова"
+    assert len(long) > 40
+    twice = long.replace("н", "и", 1)[::-1].replace("п", "л", 1)[::-1]
+    rows = [(long, 400), (twice, 1), ("чистая", 300), ("4истоя".replace("о", "а"), 2), ("x" * 60, 1)]
+    got = {r["word"]: r["good"] for r in scans.misread_words(spark.createDataFrame(rows, "word string, n bigint")).collect()}
+    assert got == {twice: long, "4истая": "чистая"}
+    assert scans.misread_words(spark.createDataFrame(rows[:0], "word string, n bigint")).count() == 0
+
+
 # --- 6: survivors
 
 
