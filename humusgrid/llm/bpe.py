@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 REMEMBERED = 400_000
 #: Vocabulary files larger than this are refused: they are sent to every executor.
 MOST_VOCABULARY_BYTES = 64_000_000
+# Fixed value: the pattern whose cuts are known to fall where encode() looks for them; texts of others are cut by the pattern itself.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -68,6 +70,7 @@ class Encoder:
         if missing:
             raise ValueError(f"the vocabulary lacks single bytes: {missing[:5]}")
         self.ranks, self.cut = ranks, regex.compile(pattern)
+        self.by_words = pattern == WORD_PATTERN
         # runs of blanks other than the single space between two words
         self.uneven = regex.compile(r"(\s\s+|[^\S ])")
         self.first, self.later = _Memory(self, ""), _Memory(self, " ")
@@ -75,13 +78,15 @@ class Encoder:
     def pieces(self, text: str) -> bytes:
         """Ids as 32-bit integers of a text cut by the pattern."""
         ids: list[int] = []
-        for piece in self.cut.findall(text):
-            ids += merge_piece(piece.encode("utf-8", "surrogatepass"), self.ranks)
+        for m in self.cut.finditer(text):
+            ids += merge_piece(m[0].encode("utf-8", "surrogatepass"), self.ranks)
         return np.array(ids, np.int32).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if not self.by_words:
+            return self.pieces(text)
         # The pattern cuts before a space between two characters that are not blank. Of a longer run it cuts off
         # all but the last blank, and that one too unless it is the space which goes with the next word.
         parts: list[bytes] = []

@@ -240,6 +240,15 @@ def test_ids_equal_the_public_encoder(coder):
         assert np.frombuffer(coder.encode(s), np.int32).tolist() == other.encode_ordinary(s), repr(s)
 
 
+def test_other_patterns_cut_for_themselves(coder):
+    tiktoken = pytest.importorskip("tiktoken")
+    pattern = r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
+    own, other = bpe.Encoder(coder.ranks, pattern), tiktoken.Encoding("own2", pat_str=pattern, mergeable_ranks=coder.ranks, special_tokens={})
+    assert coder.by_words and not own.by_words
+    for s in ("one\n\n\ntwo", "a  b\r\n\r\n c 12345", " \n \n x", "Почва\n\n—\n"):
+        assert np.frombuffer(own.encode(s), np.int32).tolist() == other.encode_ordinary(s)
+
+
 def test_corpus_round_trip(spark):
     path, pattern = queries.public_vocabulary("byte_bpe_50k.tiktoken")
     texts = [None, "", "  \n", "Почва 🌱 soil", "word " * 60_000, "x" * 50_000, "dup", "dup"]
