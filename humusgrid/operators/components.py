@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from humusgrid.session import cut_lineage
+from humusgrid.session import cut_lineage, drop_stage
 
 #: Rounds after which something is wrong: they grow with the logarithm of the longest path.
 MOST_ROUNDS = 60
@@ -17,7 +17,8 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     Alternating large-star and small-star steps: each step links neighbours of a
     vertex to their smallest one, so long chains halve and a hot vertex only
     loses edges. Every round is written to the shared folder, which cuts the
-    lineage; the driver sees one count and one checksum per round.
+    lineage, and the round before it deleted; the driver sees one count and one
+    checksum per round.
 
     Defined results: edges with a null end are ignored; an edge from an id to
     itself makes a component of that id; repeated edges and loops change
@@ -35,8 +36,9 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         # small star: u and its smaller neighbours are linked to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        links = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        last, links = links, small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         links = cut_lineage(links, "links")
+        drop_stage(last)
         now = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == seen:
             break

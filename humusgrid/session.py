@@ -56,9 +56,44 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write df as a table in the shared folder and read it back.
 
     Survives the loss of any executor, keeps columns compressed, and gives the
-    next plan exact sizes.
+    next plan exact sizes. The table is deleted by drop_stage(), by
+    drop_stages(), or when the driver's process ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_drop_at_exit, spark)
+    _WRITTEN.append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+#: Tables of cut_lineage() that are still there.
+_WRITTEN: list[str] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Delete the table that cut_lineage() wrote for df; nothing that reads it may run afterwards."""
+    path = df.stage_path
+    _delete(df.sparkSession, path)
+    _WRITTEN.remove(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all tables of cut_lineage(): for long sessions, once their results are written."""
+    while _WRITTEN:
+        _delete(spark, _WRITTEN.pop())
+
+
+def _drop_at_exit(spark: SparkSession) -> None:
+    try:
+        drop_stages(spark)
+    except Exception as error:  # the JVM may be gone; the folder's owner then removes it
+        print(f"tables left in the shared folder: {error}")
