@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from humusgrid.functions import rules
 from humusgrid.operators.headers import classify_headers
 
+# A number with an optional unit, and a depth range.
 CELL_NUMBER = rf"(?iuU)^\s*(-?\d+(?:[.,]\d+)?)\s*({rules.HEADER_UNIT})?\s*$"
 RANGE_LABEL = r"(?i)^\s*(\d{1,3})\s*[–—-]\s*(\d{1,3})(?:\s*(?:cm|см))?\s*$"
 

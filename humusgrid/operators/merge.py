@@ -7,12 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from humusgrid.operators.components import connected_components
+
 
 def _newest(changes: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
-    if order is None:
-        return changes.dropDuplicates(list(keys))
-    w = Window.partitionBy(*keys).orderBy(F.desc(order), *[c for c in changes.columns if c not in keys and c != order])
-    return changes.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    """One row a key: the newest by `order`, of equally new ones (or without an order) the largest by all columns.
+
+    A maximum of structs combines on the map side, so a hot key is no hot task.
+    """
+    rest = [c for c in changes.columns if c not in keys and c != order]
+    columns = [order, *rest] if order else rest
+    if not columns:
+        return changes.distinct()
+    best = changes.groupBy(*keys).agg(F.max(F.struct(*columns)).alias("_m"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_m.{c}").alias(c) for c in changes.columns])
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str], order: str | None = None, keep_old_where_null: bool = False) -> DataFrame:
@@ -47,9 +55,25 @@ def delete_rows(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> Data
     return target.join(gone.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def final_survivors(log: DataFrame, retired: str, canonical: str) -> DataFrame:
+    """(id, survivor) of every id of a merge log, over chains of any length.
+
+    The survivor is the id of the connected group that is never retired; the
+    smallest one where there are several, and the smallest id of the group where
+    all are (a loop). Rows with a null side, and of an id onto itself, retire
+    nothing.
+    """
+    rows = log.select(F.col(retired).alias("a"), F.col(canonical).alias("b"))
+    groups = connected_components(rows, "a", "b")
+    gone = rows.filter("a is not null and b is not null and a <> b").select(F.col("a").alias("id"), F.lit(True).alias("gone")).distinct()
+    marked = groups.join(gone, "id", "left")
+    best = marked.groupBy("component").agg(F.coalesce(F.min(F.when(F.col("gone").isNull(), F.col("id"))), F.min("id")).alias("survivor"))
+    return groups.join(best, "component").select("id", "survivor")
+
+
 def redirect_key(target: DataFrame, column: str, log: DataFrame, retired: str, canonical: str) -> DataFrame:
-    """References to retired ids point to their canonical ids; log: one canonical id for each retired id."""
-    to = log.select(F.col(retired).alias("_from"), F.col(canonical).alias("_to")).dropDuplicates(["_from"])
+    """References to retired ids point to their canonical ids; of several canonical ids of one id the smallest counts."""
+    to = log.filter(F.col(retired).isNotNull()).groupBy(F.col(retired).alias("_from")).agg(F.min(canonical).alias("_to"))
     return target.join(to, target[column] == F.col("_from"), "left").withColumn(column, F.coalesce("_to", column)).select(*target.columns)
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from humusgrid.functions import rules
 
 
-def _any(col: Column, names: str) -> Column:
-    return F.coalesce(col.isin(*names.split()), F.lit(False))
+def _any(col: Column, names: tuple[str, ...]) -> Column:
+    return F.coalesce(col.isin(*names), F.lit(False))
 
 
 def unit_form(unit: Column, strict: bool = False) -> Column:
@@ -21,7 +21,7 @@ def unit_form(unit: Column, strict: bool = False) -> Column:
     if strict:
         s = F.replace(s, F.lit("кг"), F.lit("kg"))
     s = F.replace(F.replace(F.replace(s, F.lit("мг"), F.lit("mg")), F.lit("г"), F.lit("g")), F.lit("см"), F.lit("cm"))
-    known = F.coalesce(*[F.when(s == f, F.lit(to)) for f, to in (p.split() for p in rules.UNIT_FORMS.split("|"))])
+    known = F.coalesce(*[F.when(s == f, F.lit(to)) for f, to in rules.UNIT_FORMS.items()])
     return F.when(F.length(unit) > 0, F.coalesce(known, unit))
 
 
@@ -45,25 +45,31 @@ def safe_conversion(value: Column, unit: Column, canonical: Column, prop: Column
 
 
 def plausibility(prop: Column, category: Column, value: Column, unit: Column, status: Column) -> Column:
-    """unchecked, out_of_physical_range, negative_content or ok."""
+    """struct(verdict, rule): unchecked, out_of_physical_range, negative_content or ok, and the rule that says so."""
+    out = lambda verdict, rule: F.struct(F.lit(verdict).alias("verdict"), (rule if isinstance(rule, Column) else F.lit(rule)).cast("string").alias("rule"))
 
-    def outside(key: Column, table: str) -> Column:
-        return F.coalesce(*[F.when(key == name, (value < low) | (value > high)) for name, low, high in rules.bounds(table)], F.lit(False))
+    def broken(key: Column, table: dict[str, tuple[float, float, str]]) -> Column:
+        """Rule of the key's range where the value is outside it."""
+        return F.coalesce(*[F.when((key == name) & ((value < low) | (value > high)), F.lit(rule)) for name, (low, high, rule) in table.items()])
 
-    proven = prop.startswith("ph_") | status.isin("exact", "converted")
+    proven = F.coalesce(prop.startswith("ph_") | status.isin("exact", "converted"), F.lit(False))
     unit_key = F.regexp_replace(F.replace(F.replace(F.lower(F.trim(F.coalesce(unit, F.lit("")))), F.lit("º"), F.lit("°")), F.lit("в°"), F.lit("°")), r"\s+", "")
-    physical = F.coalesce(proven, F.lit(False)) & outside(prop, rules.PHYSICAL_RANGE)
-    generic = F.coalesce(prop == "unclassified_table_metric", F.lit(False)) & outside(unit_key, rules.UNIT_RANGE)
+    physical = F.when(proven, broken(prop, rules.PHYSICAL_RANGE))
+    generic = F.when(prop == "unclassified_table_metric", broken(unit_key, rules.UNIT_RANGE))
     percent = _any(prop, rules.PERCENT_PROPERTIES) & F.coalesce(F.trim(unit) == "%", F.lit(False)) & ((value < 0) | (value > 100))
     negative = (value < 0) & _any(category, rules.CONTENT_CATEGORIES) & ~_any(prop, rules.SIGNED_PROPERTIES)
-    return F.when(value.isNull(), "unchecked").when(physical | generic | percent, "out_of_physical_range").when(negative, "negative_content").otherwise("ok")
+    outside = F.coalesce(physical, generic, F.when(percent, F.lit(rules.PERCENT_RULE)))
+    return F.when(value.isNull(), out("unchecked", rules.NO_VALUE_RULE)).when(outside.isNotNull(), out("out_of_physical_range", outside)).when(negative, out("negative_content", rules.NEGATIVE_RULE)).otherwise(out("ok", None))
+
+
+# Fixed value: an article identifier, of which volume, year and issue are read.
+ARTICLE_ID = r"(?i)S1064229(\d)(\d{2})(\d{2})(\d{3}[\dX])"
 
 
 def decoded_year(identifier: Column) -> Column:
     """struct(year, confidence, uncertainty) read from an article identifier; null where there is none."""
     s = F.replace(identifier, F.lit("_"), F.lit("/"))
-    form = r"(?i)S1064229(\d)(\d{2})(\d{2})(\d{3}[\dX])"
-    two, block = F.regexp_extract(s, form, 2).try_cast("int"), F.regexp_extract(s, form, 3).try_cast("int")
+    two, block = F.regexp_extract(s, ARTICLE_ID, 2).try_cast("int"), F.regexp_extract(s, ARTICLE_ID, 3).try_cast("int")
     year = F.when(two <= 68, 2000 + two).otherwise(1900 + two)
     issue = block < 60
     return F.when(two.isNotNull(), F.struct(year.alias("year"), F.when(issue, "issue_number").otherwise("submission_year").alias("confidence"), F.when(issue, 0).otherwise(1).alias("uncertainty")))
@@ -73,7 +79,7 @@ def horizon_of(row_label: Column) -> Column:
     """Horizon at the start of a row label, where a depth range follows; else null."""
     label = F.regexp_extract(row_label, rules.HORIZON_PREFIX, 0)
     rest = F.substr(row_label, F.length(label) + 1)
-    return F.when((label != "") & ~label.isin(*rules.HORIZON_REJECT.split()) & rest.rlike(rules.HORIZON_TAIL), label)
+    return F.when((label != "") & ~label.isin(*rules.HORIZON_REJECT) & rest.rlike(rules.HORIZON_TAIL), label)
 
 
 def datum_of(text: Column, context: int = 70) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from humusgrid.functions import rules
 from humusgrid.operators import merge
 from humusgrid.operators.components import connected_components
 from humusgrid.operators.extract import dms_coordinates
@@ -17,15 +16,39 @@ from humusgrid.plans.registry import Registry, Tables
 from humusgrid.streaming.incremental import windowed_totals
 
 R = Registry()
-_in = lambda names: ", ".join(f"'{n}'" for n in names.split())
+# The SQL states its constants for itself.
+_TO_G = "'soil_organic_carbon', 'total_nitrogen', 'total_phosphorus', 'total_potassium', 'inorganic_carbon'"
+_TO_PCT = "'organic_matter', 'carbonate_equivalent', 'base_saturation', 'porosity', 'sand', 'silt', 'clay', 'field_capacity', 'wilting_point', 'water_holding_capacity'"
 _UNIT = "replace(replace(replace(replace(replace(lower(unit_raw), ' ', ''), '³', '3'), 'мг', 'mg'), 'г', 'g'), 'см', 'cm')"
-_FORM = "CASE " + " ".join(f"WHEN {_UNIT} = '{a}' THEN '{b}'" for a, b in (p.split() for p in rules.UNIT_FORMS.split("|"))) + " ELSE unit_raw END"
-_RANGE = " ".join(f"WHEN '{n}' THEN v < {lo} OR v > {hi}" for n, lo, hi in rules.bounds(rules.PHYSICAL_RANGE))
+_FORM = f"""CASE {_UNIT} WHEN 'mg/kg' THEN 'mg/kg' WHEN 'g/kg' THEN 'g/kg' WHEN '%' THEN '%' WHEN 'ds/m' THEN 'dS/m' WHEN 'g/cm3' THEN 'g/cm3'
+WHEN 'cmol(c)/kg' THEN 'cmolc/kg' WHEN 'cmolc/kg' THEN 'cmolc/kg' ELSE unit_raw END"""
+_RANGE = """(VALUES
+    ('ph_h2o', 2.0, 12.0), ('ph_kcl', 2.0, 12.0), ('ph_unspecified', 2.0, 12.0), ('bulk_density', 0.05, 2.65),
+    ('particle_density', 1.0, 4.0), ('soil_organic_carbon', 0.0, 600.0), ('total_nitrogen', 0.0, 50.0), ('total_potassium', 0.0, 60.0),
+    ('soil_depth', 0.0, 2000.0), ('flow_depth', 0.0, 2000.0), ('layer_depth', 0.0, 2000.0), ('soil_moistening_depth', 0.0, 2000.0),
+    ('leaf_length', 0.0, 2000.0), ('root_length', 0.0, 2000.0), ('iron', 0.0, 300000.0), ('zinc', 0.0, 50000.0),
+    ('copper', 0.0, 50000.0), ('nickel', 0.0, 50000.0), ('manganese', 0.0, 50000.0), ('mercury', 0.0, 1000.0),
+    ('nitrate_n', 0.0, 5000.0), ('mineral_nitrogen', 0.0, 5000.0), ('available_phosphorus', 0.0, 20000.0), ('total_dissolved_solids', 0.0, 500.0),
+    ('calcium', 0.0, 100.0), ('magnesium', 0.0, 100.0), ('calcium_ion', 0.0, 200.0), ('magnesium_ion', 0.0, 200.0),
+    ('sodium_ion', 0.0, 200.0), ('potassium_ion', 0.0, 200.0), ('chloride_ion', 0.0, 200.0), ('sulfate_ion', 0.0, 200.0),
+    ('bicarbonate_ion', 0.0, 200.0), ('hydrogen_ion', 0.0, 200.0), ('ammonium_ion', 0.0, 200.0)
+) AS g(range_of, lo, hi)"""
+_PERCENT = """
+    'sand', 'coarse_sand', 'fine_sand', 'silt', 'clay', 'physical_clay',
+    'porosity', 'base_saturation', 'aggregate_stability', 'organic_matter', 'carbonate_equivalent', 'exchangeable_sodium_percentage',
+    'gravimetric_water_content', 'field_capacity', 'wilting_point', 'water_holding_capacity', 'vegetation_pole_density', 'soil_cover_percentage',
+    'coarse_silt', 'medium_silt', 'fine_silt', 'very_coarse_sand', 'fine_fraction_lt_0_001mm', 'silicon_dioxide',
+    'iron_oxide_fe2o3', 'aluminum_oxide_al2o3', 'calcium_oxide_cao', 'magnesium_oxide_mgo', 'potassium_oxide_k2o', 'sodium_oxide_na2o',
+    'titanium_dioxide', 'manganese_oxide_mno', 'phosphorus_pentoxide', 'potassium_oxide'"""
+_CONTENT = """
+    'organic', 'macronutrient', 'exchange', 'particle_size', 'microelement', 'contaminant',
+    'salinity', 'biological', 'hydrophysical', 'elemental_oxide', 'soil_solution', 'geochemical',
+    'vegetation', 'erosion', 'hydrological', 'hydrometeorological'"""
 _CONVERT = f"""SELECT candidate_id, property_id, category, value_num AS raw, u, canonical_unit,
 CASE WHEN value_num IS NULL OR u IS NULL THEN NULL WHEN u = canonical_unit THEN value_num WHEN u = 'g/kg' AND canonical_unit = 'mg/kg' THEN value_num * 1000 WHEN u = 'mg/kg' AND canonical_unit = 'g/kg' THEN value_num / 1000
-WHEN u = '%' AND canonical_unit = 'g/kg' AND property_id IN ({_in(rules.PERCENT_TO_G_KG)}) THEN value_num * 10 WHEN u = 'g/kg' AND canonical_unit = '%' AND property_id IN ({_in(rules.G_KG_TO_PERCENT)}) THEN value_num / 10 END AS v,
+WHEN u = '%' AND canonical_unit = 'g/kg' AND property_id IN ({_TO_G}) THEN value_num * 10 WHEN u = 'g/kg' AND canonical_unit = '%' AND property_id IN ({_TO_PCT}) THEN value_num / 10 END AS v,
 CASE WHEN value_num IS NULL THEN 'missing_value' WHEN u IS NULL THEN 'missing_unit' WHEN u = canonical_unit THEN 'exact' WHEN (u = 'g/kg' AND canonical_unit = 'mg/kg') OR (u = 'mg/kg' AND canonical_unit = 'g/kg')
-OR (u = '%' AND canonical_unit = 'g/kg' AND property_id IN ({_in(rules.PERCENT_TO_G_KG)})) OR (u = 'g/kg' AND canonical_unit = '%' AND property_id IN ({_in(rules.G_KG_TO_PERCENT)})) THEN 'converted' ELSE 'incompatible' END AS status
+OR (u = '%' AND canonical_unit = 'g/kg' AND property_id IN ({_TO_G})) OR (u = 'g/kg' AND canonical_unit = '%' AND property_id IN ({_TO_PCT})) THEN 'converted' ELSE 'incompatible' END AS status
 FROM (SELECT *, nullif({_FORM}, '') AS u FROM normalized_table_measurement_candidates JOIN property_definition USING (property_id))"""
 
 
@@ -40,14 +63,29 @@ def unit_convert(t: Tables) -> DataFrame:
     return _converted(t).select("candidate_id", "property_id", "v", "status")
 
 
-@R.query(f"""WITH c AS ({_CONVERT}) SELECT property_id, verdict, count(*) AS n FROM (SELECT property_id, CASE WHEN v IS NULL THEN 'unchecked'
-WHEN (status IN ('exact', 'converted') OR property_id LIKE 'ph_%') AND coalesce(CASE property_id {_RANGE} END, false) THEN 'out_of_physical_range'
-WHEN property_id IN ({_in(rules.PERCENT_PROPERTIES)}) AND trim(canonical_unit) = '%' AND (v < 0 OR v > 100) THEN 'out_of_physical_range'
-WHEN v < 0 AND category IN ({_in(rules.CONTENT_CATEGORIES)}) AND property_id NOT IN ({_in(rules.SIGNED_PROPERTIES)}) THEN 'negative_content' ELSE 'ok' END AS verdict FROM c) GROUP BY 1, 2""")
-def plausibility_flags(t: Tables) -> DataFrame:
+_VERDICT = f"""SELECT candidate_id, property_id, CASE WHEN v IS NULL THEN 'unchecked' WHEN (status IN ('exact', 'converted') OR property_id LIKE 'ph\\_%' ESCAPE '\\') AND (v < lo OR v > hi) THEN 'out_of_physical_range'
+WHEN property_id IN ({_PERCENT}) AND trim(canonical_unit) = '%' AND (v < 0 OR v > 100) THEN 'out_of_physical_range'
+WHEN v < 0 AND category IN ({_CONTENT}) AND property_id NOT IN ('redox_potential', 'soil_temperature') THEN 'negative_content' ELSE 'ok' END AS verdict
+FROM ({_CONVERT}) LEFT JOIN {_RANGE} ON property_id = range_of"""
+
+
+def _judged(t: Tables) -> DataFrame:
     rows = _converted(t).join(t.property_definition.select("property_id", "canonical_unit"), "property_id")
-    verdict = plausibility(F.col("property_id"), F.col("category"), F.col("v"), F.col("canonical_unit"), F.col("status"))
-    return rows.groupBy("property_id", verdict.alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("judged", plausibility(F.col("property_id"), F.col("category"), F.col("v"), F.col("canonical_unit"), F.col("status")))
+
+
+@R.query(f"SELECT property_id, verdict, count(*) AS n FROM ({_VERDICT}) GROUP BY 1, 2")
+def plausibility_flags(t: Tables) -> DataFrame:
+    return _judged(t).groupBy("property_id", F.col("judged.verdict").alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@R.query(f"""SELECT property_id, count(*) AS rows, count(*) FILTER (WHERE verdict = 'ok') AS trusted, count(*) FILTER (WHERE verdict NOT IN ('ok', 'unchecked')) AS affected FROM ({_VERDICT}) GROUP BY 1
+ORDER BY affected DESC, property_id LIMIT 15""")
+def quality_report(t: Tables) -> DataFrame:
+    """Checked values by property; the 15 most affected ones (a top-k report)."""
+    v = F.col("judged.verdict")
+    out = _judged(t).groupBy("property_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(v == "ok").alias("trusted"), F.count_if(~v.isin("ok", "unchecked")).alias("affected"))
+    return out.orderBy(F.desc("affected"), "property_id").limit(15)
 
 
 @R.query("""WITH s AS (SELECT document_id, count(DISTINCT site_id) AS k, min(site_id) AS site FROM reported_site WHERE document_id IS NOT NULL GROUP BY 1)
@@ -112,11 +150,13 @@ def upsert_merge(t: Tables) -> DataFrame:
     return merge.upsert(target, newest, ["o_custkey"], ["pri"])
 
 
-@R.query("""WITH l AS (SELECT retired_site_id AS r, min(canonical_site_id) AS c FROM site_merge GROUP BY 1)
-SELECT coalesce(c, site_id) AS site_id, count(*) AS profiles FROM profile LEFT JOIN l ON site_id = r GROUP BY 1""")
+@R.query("""WITH RECURSIVE e AS (SELECT retired_site_id AS a, canonical_site_id AS b FROM site_merge UNION SELECT canonical_site_id, retired_site_id FROM site_merge), r AS (SELECT a, a AS m FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.a),
+g AS (SELECT a AS id, min(m) AS part FROM r GROUP BY 1), k AS (SELECT part, coalesce(min(id) FILTER (WHERE id NOT IN (SELECT retired_site_id FROM site_merge WHERE retired_site_id IS NOT NULL AND canonical_site_id <> retired_site_id)), part) AS survivor FROM g GROUP BY 1)
+SELECT coalesce(survivor, site_id) AS site_id, count(*) AS profiles FROM profile LEFT JOIN g ON site_id = id LEFT JOIN k USING (part) GROUP BY 1""")
 def key_redirect(t: Tables) -> DataFrame:
-    log = t.site_merge.groupBy("retired_site_id").agg(F.min("canonical_site_id").alias("canonical_site_id"))
-    return merge.redirect_key(t.profile, "site_id", log, "retired_site_id", "canonical_site_id").groupBy("site_id").agg(F.count(F.lit(1)).alias("profiles"))
+    """References follow chains of merges to the last survivor; of a loop, or of several last ones, the smallest id stays."""
+    log = merge.final_survivors(t.site_merge, "retired_site_id", "canonical_site_id")
+    return merge.redirect_key(t.profile, "site_id", log, "id", "survivor").groupBy("site_id").agg(F.count(F.lit(1)).alias("profiles"))
 
 
 @R.query("""WITH c AS (SELECT 'site_without_document' AS "check", count(*) AS rows FROM reported_site WHERE document_id IS NULL UNION ALL SELECT 'profile_without_site', count(*) FROM profile WHERE site_id NOT IN (SELECT site_id FROM reported_site WHERE site_id IS NOT NULL)
