@@ -9,11 +9,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from humusgrid.operators.aggregate import ranked_values
 
-def fractional_rank(value: Column | str, keys: Sequence[str]) -> Column:
-    """Ranks from 1, ties averaged."""
-    w = Window.partitionBy(*keys)
-    return F.rank().over(w.orderBy(value)) + (F.count(F.lit(1)).over(w.orderBy(value).rangeBetween(0, 0)) - 1) / 2.0
+
+def fractional_rank(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """df with ranks from 1 within the keys, ties averaged, null values without a rank; by counted values."""
+    ranks = ranked_values(df, keys, value).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_v", (F.col("_before") + (F.col("_c") + 1) / 2.0).alias(name))
+    on = F.col(value) == F.col("_v")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(ranks, on, "left").select(*df.columns, name)
 
 
 def pearson(df: DataFrame, keys: Sequence[str], x: str, y: str, least: int = 3) -> DataFrame:
@@ -26,8 +31,17 @@ def pearson(df: DataFrame, keys: Sequence[str], x: str, y: str, least: int = 3)
 
 
 def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, fractional_rank(x, keys).alias("_x"), fractional_rank(y, keys).alias("_y"))
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.corr("_x", "_y").alias("rho"))
+    """Rank correlation of each group, pairwise complete: (keys, n, rho). Equal pairs are counted before they are ranked."""
+    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y)
+    pairs = rows.groupBy(*keys, x, y).agg(F.count(F.lit(1)).alias("_m"))
+    for c, name in ((x, "_x"), (y, "_y")):
+        ranks = ranked_values(rows, keys, c).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_v", (F.col("_before") + (F.col("_c") + 1) / 2.0 - (F.col("_n") + 1) / 2.0).alias(name))
+        on = F.col(c) == F.col("_v")
+        for i, k in enumerate(keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        pairs = pairs.join(ranks, on).select(*pairs.columns, name)
+    w = lambda a, b: F.sum(F.col("_m") * F.col(a) * F.col(b))
+    return pairs.groupBy(*keys).agg(F.sum("_m").alias("n"), (w("_x", "_y") / F.sqrt(w("_x", "_x") * w("_y", "_y"))).alias("rho"))
 
 
 def ols_line(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
@@ -45,13 +59,12 @@ def bh_q(df: DataFrame, p: str, id_col: str) -> DataFrame:
 
 
 def mann_whitney(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
-    """Rank-sum U of two groups and its normal score with tie correction: one row."""
-    rows = df.filter(F.col(group).isin(a, b) & F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count_if(F.col(group) == a).alias("na"), F.count_if(F.col(group) == b).alias("nb"))
-    # ranks of tied values at once: the window runs over distinct values
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    t = F.col("na") + F.col("nb")
-    ranked = rows.withColumn("mid", F.coalesce(F.sum(t).over(w), F.lit(0)) + (t + 1) / 2.0)
-    s = ranked.agg(F.sum(F.col("na") * F.col("mid")).alias("ra"), F.sum("na").cast("double").alias("n1"), F.sum("nb").cast("double").alias("n2"), F.sum((t * t * t - t).cast("double")).alias("ties"))
+    """Rank-sum U of two groups and its normal score with tie correction: one row, by counted values."""
+    rows = df.filter(F.col(group).isin(a, b) & F.col(value).isNotNull()).select(F.lit(0).alias("_g"), group, value)
+    own = rows.groupBy(F.col(value).alias("_w")).agg(F.count_if(F.col(group) == a).alias("na"), F.count_if(F.col(group) == b).alias("nb"))
+    ranked = ranked_values(rows, ["_g"], value).join(own, F.col("_v") == F.col("_w")).withColumn("mid", F.col("_before") + (F.col("_c") + 1) / 2.0)
+    t = F.col("_c").cast("double")
+    s = ranked.agg(F.sum(F.col("na") * F.col("mid")).alias("ra"), F.sum("na").cast("double").alias("n1"), F.sum("nb").cast("double").alias("n2"), F.sum(t * t * t - t).alias("ties"))
     n = F.col("n1") + F.col("n2")
     u = F.col("ra") - F.col("n1") * (F.col("n1") + 1) / 2
     sd = F.sqrt(F.col("n1") * F.col("n2") / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))

@@ -1,7 +1,8 @@
 """All queries of the core and their SQL."""
 
-from humusgrid.plans import core_queries, domain, relational
+from humusgrid.plans import core_queries, domain, links, relational, reports
 
 FLAGSHIP = "canned_property_means"
-QUERIES = {**relational.R.queries, **domain.R.queries, **core_queries.QUERIES}
-ORACLE = {**relational.R.oracle, **domain.R.oracle, **core_queries.ORACLE}
+_PARTS = (relational.R, domain.R, links.R, reports.R)
+QUERIES = {k: v for part in _PARTS for k, v in part.queries.items()} | core_queries.QUERIES
+ORACLE = {k: v for part in _PARTS for k, v in part.oracle.items()} | core_queries.ORACLE

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from humusgrid.operators import aggregate as agg
 from humusgrid.operators import joins, stats
-from humusgrid.operators.spatial import haversine_km, nearest_other
+from humusgrid.operators.spatial import nearest_other
 from humusgrid.operators.topics import text_topics
 from humusgrid.plans.registry import Registry, Tables
 
@@ -140,8 +140,7 @@ def asof_backward(t: Tables) -> DataFrame:
 
 @R.query("SELECT event_id, lead(event_id) OVER w AS next_id, lead(event_type) OVER w AS next_type FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def adjacent_lead(t: Tables) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return t.events.select("event_id", F.lead("event_id").over(w).alias("next_id"), F.lead("event_type").over(w).alias("next_type"))
+    return joins.next_rows(t.events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"], {"event_id": "next_id", "event_type": "next_type"}).select("event_id", "next_id", "next_type")
 
 
 @R.query("""WITH s AS (SELECT DISTINCT o_custkey AS g, p_brand AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey), n AS (SELECT i, count(*) AS n FROM s GROUP BY 1)
@@ -152,21 +151,10 @@ def all_pairs_cooccurrence(t: Tables) -> DataFrame:
     return agg.pair_counts(rows, "o_custkey", "p_brand")
 
 
-@R.query("""WITH s AS (SELECT DISTINCT document_id, latitude AS y, longitude AS x FROM reported_site WHERE document_id IS NOT NULL AND latitude BETWEEN 41 AND 82 AND longitude BETWEEN 19 AND 180)
-SELECT a.document_id, a.y, a.x, min(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2))))) AS nearest_km
-FROM s a JOIN s b ON a.document_id = b.document_id AND (a.y <> b.y OR a.x <> b.x) GROUP BY ALL""")
-def nearest_neighbour(t: Tables) -> DataFrame:
-    """Distance to the nearest other position of the same document, as the SQL has it; over all positions: nearest_position."""
-    s = t.reported_site.filter("document_id is not null and latitude between 41 and 82 and longitude between 19 and 180").select("document_id", F.col("latitude").alias("y"), F.col("longitude").alias("x")).distinct()
-    b = s.select("document_id", F.col("y").alias("y2"), F.col("x").alias("x2"))
-    far = haversine_km(F.col("y"), F.col("x"), F.col("y2"), F.col("x2"))
-    return s.join(b, "document_id").filter("y <> y2 or x <> x2").groupBy("document_id", "y", "x").agg(F.min(far).alias("nearest_km"))
-
-
 @R.query("""WITH s AS (SELECT DISTINCT latitude AS y, longitude AS x FROM reported_site WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND NOT (latitude = 0 AND longitude = 0))
 SELECT a.y, a.x, min(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2))))) AS nearest_km
 FROM s a JOIN s b ON a.y <> b.y OR a.x <> b.x GROUP BY ALL""")
-def nearest_position(t: Tables) -> DataFrame:
+def nearest_neighbour(t: Tables) -> DataFrame:
     """Distance to the nearest other of all unique positions."""
     s = t.reported_site.select(F.struct("latitude", "longitude").alias("id"), "latitude", "longitude")
     return nearest_other(s).select(F.col("latitude").alias("y"), F.col("longitude").alias("x"), F.col("km").alias("nearest_km"))
@@ -217,7 +205,9 @@ def lower_percentiles(t: Tables) -> DataFrame:
 
 @R.query("SELECT property_id, quantile_cont(value_num, 0.25) AS q25, quantile_cont(value_num, 0.5) AS q50, quantile_cont(value_num, 0.75) AS q75, min(value_num) AS lo, max(value_num) AS hi, avg(value_num) AS mean FROM normalized_table_measurement_candidates GROUP BY 1")
 def linear_quantiles(t: Tables) -> DataFrame:
-    return t.normalized_table_measurement_candidates.groupBy("property_id").agg(*[F.percentile("value_num", q).alias(f"q{round(q * 100)}") for q in (0.25, 0.5, 0.75)], F.min("value_num").alias("lo"), F.max("value_num").alias("hi"), F.avg("value_num").alias("mean"))
+    q = agg.exact_quantiles(t.normalized_table_measurement_candidates, ["property_id"], "value_num", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    rest = t.normalized_table_measurement_candidates.groupBy(F.col("property_id").alias("p")).agg(F.min("value_num").alias("lo"), F.max("value_num").alias("hi"), F.avg("value_num").alias("mean"))
+    return rest.join(q, F.col("p").eqNullSafe(F.col("property_id")), "left").select(F.col("p").alias("property_id"), "q25", "q50", "q75", "lo", "hi", "mean")
 
 
 @R.query("""WITH c AS (SELECT property_id, unit_raw, count(*) AS n FROM normalized_table_measurement_candidates WHERE unit_raw IS NOT NULL GROUP BY 1, 2)
@@ -265,7 +255,7 @@ def pivot_first(t: Tables) -> DataFrame:
 @R.query("""WITH b AS (SELECT quantile_cont(l_extendedprice, 0.01) AS lo, quantile_cont(l_extendedprice, 0.99) AS hi FROM lineitem)
 SELECT CAST(least(19, floor((l_extendedprice - lo) / ((hi - lo) / 20))) AS INTEGER) AS bin, count(*) AS n FROM lineitem, b WHERE l_extendedprice BETWEEN lo AND hi GROUP BY 1""")
 def histogram_clipped(t: Tables) -> DataFrame:
-    bounds = t.lineitem.agg(F.percentile("l_extendedprice", 0.01).alias("lo"), F.percentile("l_extendedprice", 0.99).alias("hi"))
+    bounds = agg.exact_quantiles(t.lineitem.select(F.lit(0).alias("g"), "l_extendedprice"), ["g"], "l_extendedprice", {"lo": 0.01, "hi": 0.99}).select("lo", "hi")
     rows = t.lineitem.select("l_extendedprice").join(F.broadcast(bounds), F.col("l_extendedprice").between(F.col("lo"), F.col("hi")))  # one row beside each
     return rows.groupBy(F.least(F.lit(19), F.floor((F.col("l_extendedprice") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / 20))).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -327,7 +317,7 @@ def dominance_lead(t: Tables) -> DataFrame:
 
 @R.query("SELECT c_custkey, c_nationkey, rank() OVER w + (count(*) OVER (PARTITION BY c_nationkey, round(c_acctbal)) - 1) / 2.0 AS frank FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY round(c_acctbal))".replace("round(", "floor("))
 def fractional_rank(t: Tables) -> DataFrame:
-    return t.customer.withColumn("v", F.floor("c_acctbal")).select("c_custkey", "c_nationkey", stats.fractional_rank("v", ["c_nationkey"]).alias("frank"))
+    return stats.fractional_rank(t.customer.select("c_custkey", "c_nationkey", F.floor("c_acctbal").alias("v")), ["c_nationkey"], "v", "frank").drop("v")
 
 
 @R.query("SELECT user_id, arg_min(value, struct_pack(ts, event_id)) AS first_value, arg_max(value, struct_pack(ts, event_id)) AS last_value, arg_max(value, struct_pack(ts, event_id)) - arg_min(value, struct_pack(ts, event_id)) AS delta FROM events WHERE value IS NOT NULL GROUP BY 1 HAVING count(*) >= 4")
@@ -358,7 +348,8 @@ def ols_trend(t: Tables) -> DataFrame:
 SELECT property_id, count(*) AS depths, -1 / regr_slope(ln(v), depth_top_cm) AS efold_cm FROM y GROUP BY 1 HAVING count(*) >= 3""")
 def efold_depth(t: Tables) -> DataFrame:
     """Depth over which the median falls by e, from medians per depth."""
-    y = t.normalized_table_measurement_candidates.filter("value_num > 0 and depth_top_cm is not null").groupBy("property_id", "depth_top_cm").agg(F.percentile("value_num", 0.5).alias("v"), F.count(F.lit(1)).alias("n")).filter("n >= 8")
+    y = t.normalized_table_measurement_candidates.filter("value_num > 0 and depth_top_cm is not null")
+    y = agg.exact_quantiles(y, ["property_id", "depth_top_cm"], "value_num", {"v": 0.5}).filter("n >= 8")
     return y.groupBy("property_id").agg(F.count(F.lit(1)).alias("depths"), (-1 / F.regr_slope(F.log("v"), "depth_top_cm")).alias("efold_cm")).filter("depths >= 3")
 
 
@@ -379,23 +370,15 @@ def mann_whitney_u(t: Tables) -> DataFrame:
 @R.query("SELECT property_id, skewness(value_num) AS skew, stddev_samp(value_num) / avg(value_num) AS cv, avg(value_num) / median(value_num) AS mean_median, skewness(value_num) > 1 AND min(value_num) >= 0 AS use_log FROM normalized_table_measurement_candidates GROUP BY 1 HAVING count(value_num) > 2")
 def skew_log_rule(t: Tables) -> DataFrame:
     skew = stats.sample_skewness("value_num")
-    return t.normalized_table_measurement_candidates.groupBy("property_id").agg(skew.alias("skew"), (F.stddev_samp("value_num") / F.avg("value_num")).alias("cv"), (F.avg("value_num") / F.percentile("value_num", 0.5)).alias("mean_median"), ((skew > 1) & (F.min("value_num") >= 0)).alias("use_log"), F.count("value_num").alias("_n")).filter("_n > 2").drop("_n")
-
-
-@R.query("""WITH s AS (SELECT DISTINCT site_id, latitude AS y, longitude AS x FROM reported_site WHERE latitude BETWEEN 41 AND 82 AND longitude BETWEEN 19 AND 180), d AS (SELECT a.site_id, a.y, a.x, min(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2))))) AS km
-FROM s a JOIN s b ON a.site_id <> b.site_id AND floor(a.y) = floor(b.y) AND floor(a.x) = floor(b.x) GROUP BY ALL) SELECT count(*) AS n, avg(km) / (0.5 / sqrt(count(*) / 17098246.0)) AS ratio, avg(CASE WHEN km < 1 THEN 1.0 ELSE 0.0 END) AS under_1km FROM d""")
-def clark_evans(t: Tables) -> DataFrame:
-    """Clark-Evans ratio of sites with a neighbour in their degree cell, as the SQL has it; over all sites: clark_evans_sites."""
-    s = t.reported_site.filter("latitude between 41 and 82 and longitude between 19 and 180").select("site_id", F.col("latitude").alias("y"), F.col("longitude").alias("x")).distinct().withColumn("cy", F.floor("y")).withColumn("cx", F.floor("x"))
-    b = s.select("cy", "cx", F.col("site_id").alias("id2"), F.col("y").alias("y2"), F.col("x").alias("x2"))
-    d = s.join(b, ["cy", "cx"]).filter("site_id <> id2").groupBy("site_id", "y", "x").agg(F.min(haversine_km(F.col("y"), F.col("x"), F.col("y2"), F.col("x2"))).alias("km"))
-    n = F.count(F.lit(1))
-    return d.agg(n.alias("n"), (F.avg("km") / (0.5 / F.sqrt(n / 17098246.0))).alias("ratio"), F.avg(F.when(F.col("km") < 1, 1.0).otherwise(0.0)).alias("under_1km"))
+    rows = t.normalized_table_measurement_candidates
+    shape = rows.groupBy(F.col("property_id").alias("p")).agg(skew.alias("skew"), (F.stddev_samp("value_num") / F.avg("value_num")).alias("cv"), F.avg("value_num").alias("mean"), ((skew > 1) & (F.min("value_num") >= 0)).alias("use_log"), F.count("value_num").alias("k")).filter("k > 2")
+    median = agg.exact_quantiles(rows, ["property_id"], "value_num", {"q": 0.5})
+    return shape.join(median, F.col("p").eqNullSafe(F.col("property_id"))).select("property_id", "skew", "cv", (F.col("mean") / F.col("q")).alias("mean_median"), "use_log")
 
 
 @R.query("""WITH s AS (SELECT DISTINCT site_id, latitude AS y, longitude AS x FROM reported_site WHERE latitude BETWEEN 41 AND 82 AND longitude BETWEEN 19 AND 180), d AS (SELECT a.site_id, a.y, a.x, min(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.y - a.y) / 2), 2) + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2))))) AS km
 FROM s a JOIN s b ON a.site_id <> b.site_id GROUP BY ALL) SELECT count(*) AS n, avg(km) / (0.5 / sqrt(count(*) / 17098246.0)) AS ratio, avg(CASE WHEN km < 1 THEN 1.0 ELSE 0.0 END) AS under_1km FROM d""")
-def clark_evans_sites(t: Tables) -> DataFrame:
+def clark_evans(t: Tables) -> DataFrame:
     """Clark-Evans ratio of all sites, each with the nearest of all others."""
     s = t.reported_site.filter("latitude between 41 and 82 and longitude between 19 and 180")
     n = F.count(F.lit(1))

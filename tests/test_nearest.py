@@ -50,14 +50,14 @@ def test_clark_evans_keeps_every_site(spark):
     s = pd.read_parquet(f"{DATA}/reported_site.parquet", columns=["site_id", "latitude", "longitude"])
     s = s[s.latitude.between(41, 82) & s.longitude.between(19, 180)].drop_duplicates()
     km = brute(s.site_id.to_numpy(), s.latitude.to_numpy(), s.longitude.to_numpy())
-    r = catalog.QUERIES["clark_evans_sites"](spark, DATA).first()
+    r = catalog.QUERIES["clark_evans"](spark, DATA).first()
     assert r["n"] == len(s)
     assert r["ratio"] == pytest.approx(km.mean() / (0.5 / np.sqrt(len(s) / 17098246.0))) and r["under_1km"] == pytest.approx((km < 1).mean())
 
 
-def test_nearest_position_takes_all_positions(spark):
+def test_nearest_neighbour_takes_all_positions(spark):
     s = pd.read_parquet(f"{DATA}/reported_site.parquet", columns=["latitude", "longitude"])
     s = s[s.latitude.between(-90, 90) & s.longitude.between(-180, 180) & ~((s.latitude == 0) & (s.longitude == 0))].drop_duplicates()
     want = dict(zip(zip(s.latitude, s.longitude), brute(np.arange(len(s)), s.latitude.to_numpy(), s.longitude.to_numpy())))
-    got = {(r["y"], r["x"]): r["nearest_km"] for r in catalog.QUERIES["nearest_position"](spark, DATA).collect()}
+    got = {(r["y"], r["x"]): r["nearest_km"] for r in catalog.QUERIES["nearest_neighbour"](spark, DATA).collect()}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-6, abs=1e-6) for k in want)

@@ -135,3 +135,44 @@ def test_incremental_merge_equals_full_run(spark, tmp_path):
         start_merge(stream, str(tmp_path / "out"), str(tmp_path / "cp"), ["k"], ["v", "at"], order="v").awaitTermination()
     got = {r["k"]: r["v"] for r in latest(spark, str(tmp_path / "out")).collect()}
     assert got == {k: max(v for x, v, _ in rows if x == k) for k in range(7)}
+
+
+def test_order_statistics_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(3)
+    values = np.round(rng.normal(size=3000), 2).tolist()
+    rows = [("hot", v) for v in values] + [("few", 1.0), ("few", 3.0), (None, 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r for r in aggregate.exact_quantiles(df.repartition(7), ["k"], "v", {"a": 0.1, "m": 0.5, "z": 1.0}).collect()}
+    assert [got["hot"][c] for c in "amz"] == pytest.approx([np.quantile(values, q) for q in (0.1, 0.5, 1.0)])
+    assert (got["few"]["m"], got["few"]["n"], got[None]["m"]) == (2.0, 2, 2.0) and "none" not in got
+    low = {r["k"]: r["p50"] for r in aggregate.lower_percentiles(df, ["k"], "v", (0.5,)).collect()}
+    assert low["hot"] == sorted(values)[(len(values) - 1) // 2] and low["few"] == 1.0
+    assert aggregate.exact_quantiles(df.limit(0), ["k"], "v", {"m": 0.5}).count() == 0
+
+
+def test_asof_over_a_hot_key(spark):
+    rng = np.random.default_rng(5)
+    left = [(i, "hot" if i % 3 else None, int(t)) for i, t in enumerate(rng.integers(0, 500, 900))] + [(9000, "hot", None)]
+    right = [("hot", int(t), i) for i, t in enumerate(rng.integers(0, 500, 40))] + [(None, 5, 0)]
+    a, b = spark.createDataFrame(left, "i int, k string, t int"), spark.createDataFrame(right, "k string, t int, x int")
+    for forward in (False, True):
+        got = {r["i"]: (r["matched_at"], r["matched_x"]) for r in joins.asof(a, b, ["k"], "t", "t", ["x"], forward).collect()}
+        for i, k, t in left:
+            near = [(s, x) for kk, s, x in right if k and kk == k and t is not None and (s > t if forward else s <= t)]
+            want = (min if forward else max)(near, key=lambda p: p) if near else (None, None)
+            assert got[i] == want, (i, k, t, got[i], want)
+        assert len(got) == len(left)
+
+
+def test_label_in_text_and_zip(spark):
+    texts = spark.createDataFrame([("d", 1, "At Kurgan-3 site, Kurgan 31 follows"), ("d", 2, None), ("e", 3, "Kurgan 3"), (None, 4, "Kurgan 3")], "d string, i int, t string")
+    labels = spark.createDataFrame([("d", "a", "Kurgan 3"), ("d", "b", "kurgan-31"), ("d", "c", "gan 3"), ("d", "e", " - "), ("e", "f", None)], "d string, l string, n string")
+    assert sorted(tuple(r) for r in joins.label_in_text(texts, labels, "d", "i", "t", "l", "n").collect()) == [(1, "a"), (1, "b")]
+    points = spark.createDataFrame([("k", 1, 2.0, 5.0), ("k", 2, None, 6.0), ("k", 3, 3.0, None), ("one", 1, 1.0, 1.0), ("odd", 1, 1.0, None), ("odd", 2, 1.0, 2.0)], "k string, o int, a double, b double")
+    assert [tuple(r) for r in joins.zip_lists(points, "k", "a", "b", "o").orderBy("position").collect()] == [("k", 0, 2.0, 5.0), ("k", 1, 3.0, 6.0)]
+
+
+def test_redirects_follow_chains_and_loops(spark):
+    log = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("y", "x"), ("s", "s"), (None, "q"), ("m", "n"), ("m", "o")], "r string, c string")
+    got = {r["id"]: r["survivor"] for r in merge.final_survivors(log, "r", "c").collect()}
+    assert got == {"a": "c", "b": "c", "c": "c", "x": "x", "y": "x", "s": "s", "m": "n", "n": "n", "o": "n"}
