@@ -320,3 +320,132 @@ HEADER_PATTERNS = (
     ("chloride_ion", r"\bCl\s*[-−]"),
     ("nitrate_ion", r"\bNO\s*3\s*[-−]"),
 )
+# Property of a header key, as curated by hand.
+CURATED_HEADERS = {
+    "humus": "organic_matter",
+    "humus %": "organic_matter",
+    "humus, %": "organic_matter",
+    "corg": "soil_organic_carbon",
+    "corg, %": "soil_organic_carbon",
+    "corg %": "soil_organic_carbon",
+    "organic carbon": "soil_organic_carbon",
+    "bulk density, g/cm3": "bulk_density",
+    "bulk density g/cm3": "bulk_density",
+    "clay": "clay",
+    "clay, %": "clay",
+    "silt": "silt",
+    "silt, %": "silt",
+    "sand": "sand",
+    "sand, %": "sand",
+    "cec": "cation_exchange_capacity",
+    "p2o5": "phosphorus_pentoxide",
+    "k2o": "potassium_oxide_k2o",
+    "cao": "calcium_oxide_cao",
+    "mgo": "magnesium_oxide_mgo",
+    "al2o3": "aluminum_oxide_al2o3",
+    "sio2": "silicon_dioxide",
+    "fe2o3": "iron_oxide_fe2o3",
+    "c/n": "carbon_nitrogen_ratio",
+    "c:n": "carbon_nitrogen_ratio",
+    "mg2+": "magnesium_ion",
+    "ca2+": "calcium_ion",
+    "na+": "sodium_ion",
+    "k+": "potassium_ion",
+    "h+": "hydrogen_ion",
+    "cl-": "chloride_ion",
+    "so42-": "sulfate_ion",
+    "hco3-": "bicarbonate_ion",
+    "mg": "magnesium",
+    "ca": "calcium",
+    "na": "sodium",
+    "fe": "iron",
+    "co": "cobalt",
+    "ph": "ph_unspecified",
+    "ph water": "ph_h2o",
+    "phwater": "ph_h2o",
+    "ph h2o": "ph_h2o",
+    "phkcl": "ph_kcl",
+    "ph kcl": "ph_kcl",
+    "ec": "electrical_conductivity",
+    "ec, conc. 1-1%": "electrical_conductivity",
+    "tio2": "titanium_dioxide",
+    "na2o": "sodium_oxide_na2o",
+    "mno": "manganese_oxide_mno",
+    "cr": "chromium",
+    "as": "arsenic",
+    "mn": "manganese",
+    "zn": "zinc",
+    "total s": "sulfur",
+    "total p": "total_phosphorus",
+    "wp": "wilting_point",
+    "br": "basal_respiration",
+    "cec saturation": "base_saturation",
+    "caco3": "carbonate_equivalent",
+    "caco3, %": "carbonate_equivalent",
+    "sar": "sodium_adsorption_ratio",
+    "hg": "mercury",
+    "ni": "nickel",
+    "pb": "lead",
+    "exchangeable na, % of the cec": "exchangeable_sodium_percentage",
+    "na, % of cec": "exchangeable_sodium_percentage",
+    "om": "organic_matter",
+    "om, %": "organic_matter",
+    "гумус": "organic_matter",
+    "гумус, %": "organic_matter",
+    "рн": "ph_unspecified",
+    "рн kcl": "ph_kcl",
+    "nh4+": "ammonium_ion",
+    "mo": "molybdenum",
+    "ec, ds/m": "electrical_conductivity",
+    "ca co3 %": "carbonate_equivalent",
+    "urease, mg nh3": "urease_activity",
+    "cu": "copper",
+    "al3+": "aluminium_ion",
+    "fc": "field_capacity",
+    "co32-": "carbonate_ion",
+    "n-no3-": "nitrate_ion",
+    "no3-": "nitrate_ion",
+    "medium silt": "medium_silt",
+    "fine silt": "fine_silt",
+    "coarse silt": "coarse_silt",
+    "n total": "total_nitrogen",
+    "ntotal": "total_nitrogen",
+    "soc": "soil_organic_carbon",
+    "tds": "total_dissolved_solids",
+    "tds, %": "total_dissolved_solids",
+    "thickness of horizons, cm a + b": "horizon_thickness",
+    "air capacity at the field capacity m": "air_capacity_field_capacity",
+}
+# Category, unit and pattern of properties named in prose.
+PROSE_PROPERTIES = {
+    "ph_h2o": ("acid_base", "pH", r"\bpH(?:\s*(?:H2O|водн(?:ый|ой)))?\b"),
+    "electrical_conductivity": ("salinity", "dS/m", r"(?:electrical conductivity|электропроводност)"),
+    "soil_organic_carbon": ("organic", "g/kg", r"(?:soil organic carbon|organic carbon|органическ[а-я ]{0,16}углерод|Сорг)"),
+    "organic_matter": ("organic", "%", r"(?:organic matter|гумус)"),
+    "total_nitrogen": ("macronutrient", "g/kg", r"(?:total nitrogen|общ(?:ий|его) азот|Nобщ)"),
+    "nitrate_n": ("macronutrient", "mg/kg", r"(?:nitrate|нитрат)"),
+    "ammonium_n": ("macronutrient", "mg/kg", r"(?:ammonium|аммоний)"),
+    "available_phosphorus": ("macronutrient", "mg/kg", r"(?:available phosphorus|подвижн[а-я ]{0,14}фосфор|P2O5)"),
+    "available_potassium": ("macronutrient", "mg/kg", r"(?:available potassium|подвижн[а-я ]{0,14}калий|K2O)"),
+    "calcium": ("exchange", "cmolc/kg", r"(?:\bCa\b|кальци)"),
+    "magnesium": ("exchange", "cmolc/kg", r"(?:\bMg\b|магни)"),
+    "cation_exchange_capacity": ("exchange", "cmolc/kg", r"(?:cation exchange capacity|\bCEC\b|ёмкост[ьи] катионного обмена)"),
+    "sand": ("particle_size", "%", r"(?:\bsand\b|пес(?:ок|чан))"),
+    "silt": ("particle_size", "%", r"(?:\bsilt\b|пылеват)"),
+    "clay": ("particle_size", "%", r"(?:\bclay\b|глинист)"),
+    "bulk_density": ("physical", "g/cm3", r"(?:bulk density|плотност[ьи] сложения)"),
+    "porosity": ("physical", "%", r"(?:porosity|пористост)"),
+    "water_holding_capacity": ("hydrophysical", "%", r"(?:water holding capacity|влагоёмкост)"),
+    "aggregate_stability": ("physical", "%", r"(?:aggregate stability|агрегатн[а-я ]{0,12}устойчивост)"),
+    "microbial_biomass_carbon": ("biological", "mg/kg", r"(?:microbial biomass carbon|микробн[а-я ]{0,16}биомасс[а-я ]{0,8}углерод)"),
+    "zinc": ("microelement", "mg/kg", r"(?:\bZn\b|цинк)"),
+    "copper": ("microelement", "mg/kg", r"(?:\bCu\b|мед[ьи])"),
+    "lead": ("contaminant", "mg/kg", r"(?:\bPb\b|свинец)"),
+    "cadmium": ("contaminant", "mg/kg", r"(?:\bCd\b|кадми)"),
+    "arsenic": ("contaminant", "mg/kg", r"(?:\bAs\b|мышьяк)"),
+    "mercury": ("contaminant", "mg/kg", r"(?:\bHg\b|ртут)"),
+}
+# A quantity, a depth range and a horizon in prose.
+PROSE_VALUE = r"(?<!\w)(-?\d+(?:[.,]\d+)?)\s*(mg\s*/\s*kg|мг\s*/\s*кг|g\s*/\s*kg|г\s*/\s*кг|%|cmol\(?c?\)\s*/\s*kg|dS\s*/\s*m|г\s*/\s*см[³3])"
+PROSE_DEPTH = r"(\d+(?:[.,]\d+)?)\s*[–-]\s*(\d+(?:[.,]\d+)?)\s*(?:cm|см)"
+PROSE_HORIZON = r"(?:горизонт|horizon)\s*([AEOBC][A-Za-z0-9+/.:-]{0,12})\b"

@@ -11,7 +11,7 @@ from humusgrid.operators.extract import dms_coordinates
 from humusgrid.operators.headers import classify_headers
 from humusgrid.operators.matrix import cell_candidates
 from humusgrid.operators.orphans import key_form
-from humusgrid.operators.quality import datum_of, decoded_year, horizon_of, plausibility, safe_conversion
+from humusgrid.operators.quality import decoded_year, horizon_of, plausibility, safe_conversion
 from humusgrid.plans.registry import Registry, Tables
 from humusgrid.streaming.incremental import windowed_totals
 
@@ -131,12 +131,6 @@ def horizon_backfill(t: Tables) -> DataFrame:
     return rows.filter("horizon is not null").groupBy("horizon").agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.query()
-def datum_evidence(t: Tables) -> DataFrame:
-    rows = t.extraction.filter("raw_text is not null").withColumn("d", datum_of(F.col("raw_text"))).filter("d is not null")
-    return rows.select("extraction_id", "d.datum", "d.match", "d.snippet")
-
-
 @R.query()
 def dms_extract(t: Tables) -> DataFrame:
     return dms_coordinates(t.extraction.filter("raw_text is not null"), "extraction_id", "raw_text", 0, None)
