@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from humusgrid.operators.components import connected_components
@@ -89,3 +89,45 @@ def zero_counts(checks: dict[str, DataFrame]) -> DataFrame:
         part = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("check"), "rows")
         out = part if out is None else out.unionByName(part)
     return out.withColumn("ready", F.max("rows").over(Window.partitionBy()) == 0)
+
+
+def conditional_upsert(target: DataFrame, changes: DataFrame, key: str, keep: Column, columns: Sequence[str]) -> DataFrame:
+    """An upsert by which rows that satisfy `keep` stay as they are; a null in a change keeps the stored value."""
+    new = _newest(changes.select(key, *columns), [key], None)
+    return upsert(target.filter(~F.coalesce(keep, F.lit(False))), new.join(target.filter(keep).select(key), key, "left_anti"), [key], columns, keep_old_where_null=True).unionByName(target.filter(keep))
+
+
+def fill_from_first(target: DataFrame, source: DataFrame, key: str, column: str, value: str, order: str) -> DataFrame:
+    """column set to the first value (by order) that source has for the key, where it has any."""
+    first = source.filter(F.col(value).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.min(F.struct(order, value))[value].alias("_first"))
+    return target.join(first, F.col(key) == F.col("_k"), "left").withColumn(column, F.coalesce("_first", column)).select(*target.columns)
+
+
+def delete_where(tables: dict[str, DataFrame], gone: Column, parent: str, key: str, children: Sequence[str]) -> dict[str, DataFrame]:
+    """Tables without the parent rows that satisfy `gone`, and without the children's rows of their keys."""
+    keys = tables[parent].filter(gone).select(key).distinct()
+    kept = {parent: tables[parent].filter(~F.coalesce(gone, F.lit(False)))}
+    return tables | kept | {c: tables[c].join(keys, key, "left_anti") for c in children}
+
+
+def sweep_orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Rows of child whose key has a parent; null keys refer to nothing and stay."""
+    held = parent.select(F.col(key).alias("_k")).filter("_k is not null").distinct()
+    return child.join(held, F.col(key) == F.col("_k"), "left").filter(F.col("_k").isNotNull() | F.col(key).isNull()).drop("_k")
+
+
+def rename_value(tables: dict[str, DataFrame], column: str, names: dict[str, str]) -> dict[str, DataFrame]:
+    """Every table that has the column with its values renamed; names come from the tables' own schemas."""
+    to = lambda c: F.coalesce(*[F.when(F.col(c) == old, F.lit(new)) for old, new in names.items()], F.col(c))
+    return {name: df.withColumn(column, to(column)) if column in df.columns else df for name, df in tables.items()}
+
+
+def with_column_added(df: DataFrame, column: str, kind: str, default: object = None) -> DataFrame:
+    """df with the column, added with its default where it is missing."""
+    return df if column in df.columns else df.withColumn(column, F.lit(default).cast(kind))
+
+
+def downgrade(df: DataFrame, status: str, old: str, new: str, notes: str, note: str, where: Column) -> DataFrame:
+    """Rows still in the old state that satisfy `where` get the new one and the note appended."""
+    hit = F.coalesce((F.col(status) == old) & where, F.lit(False))
+    return df.withColumn(notes, F.when(hit, F.concat_ws(" ", notes, F.lit(note))).otherwise(F.col(notes))).withColumn(status, F.when(hit, new).otherwise(F.col(status)))

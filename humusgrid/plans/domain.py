@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from humusgrid.operators import merge
@@ -131,9 +131,25 @@ def horizon_backfill(t: Tables) -> DataFrame:
     return rows.filter("horizon is not null").groupBy("horizon").agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.query()
+_SECONDS = "floor(({0} * 60 - floor({0} * 60)) * 60 + 0.5)"
+
+
+@R.query(f"""WITH s AS (SELECT DISTINCT candidate_id, latitude, longitude, abs(latitude) AS a, abs(longitude) AS o FROM location_candidate WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND candidate_id IS NOT NULL)
+SELECT candidate_id, CASE WHEN latitude < 0 THEN -1 ELSE 1 END * (floor(a) + floor((a - floor(a)) * 60) / 60 + {_SECONDS.format("a")} / 3600) AS latitude, CASE WHEN longitude < 0 THEN -1 ELSE 1 END * (floor(o) + floor((o - floor(o)) * 60) / 60 + {_SECONDS.format("o")} / 3600) AS longitude
+FROM s WHERE {_SECONDS.format("a")} <= 59 AND {_SECONDS.format("o")} <= 59""")
 def dms_extract(t: Tables) -> DataFrame:
-    return dms_coordinates(t.extraction.filter("raw_text is not null"), "extraction_id", "raw_text", 0, None)
+    """First coordinate of a text in degrees, minutes and seconds; here of the candidates' contexts, behind which their coordinate is printed."""
+    rows = t.location_candidate.filter("latitude between -90 and 90 and longitude between -180 and 180 and candidate_id is not null")
+
+    def printed(x: Column, negative: str, positive: str) -> Column:
+        a = F.abs(x)
+        seconds = F.floor((a * 60 - F.floor(a * 60)) * 60 + 0.5)
+        return F.concat(F.format_string("%d°%d′%d″ ", F.floor(a), F.floor((a - F.floor(a)) * 60), seconds), F.when(x < 0, negative).otherwise(positive))
+
+    # every row keeps its number: candidates may be stored twice, with and without a context
+    text = F.concat_ws(" ", "context_text", F.lit("The pit lies at"), printed(F.col("latitude"), "S", "N"), F.lit("and"), printed(F.col("longitude"), "W", "E"))
+    texts = rows.select("candidate_id", text.alias("text")).distinct()
+    return dms_coordinates(texts, "candidate_id", "text", 0, None).select("candidate_id", "latitude", "longitude").distinct()
 
 
 @R.query("""SELECT c.o_custkey, c.total, coalesce(n.o_orderpriority, c.pri) AS pri FROM (SELECT o_custkey, sum(o_totalprice) AS total, 'none' AS pri FROM orders GROUP BY 1) c
