@@ -348,14 +348,8 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, group: int = GROU
     return _located(placed, shapes, lambda b: b.reshape(-1, 4), None, group).distinct()
 
 
-def points_near_points(points: DataFrame, distance_km: float = 1.0) -> DataFrame:
-    """Pairs of different ids at most distance_km apart.
-
-    points: (id, latitude, longitude). Returns (id_a, id_b) with id_a < id_b,
-    each pair once, whatever the number of rows of an id. Points without usable
-    coordinates or with a null id make no pair; copies of one point make every
-    pair between different ids; an empty table gives no rows.
-    """
+def _near(points: DataFrame, distance_km: float) -> DataFrame:
+    """(id_a, id_b, km) of rows of different ids at most distance_km apart, as often as rows meet."""
     reach = math.degrees(distance_km / EARTH_KM) * 1.0001 + 1e-9  # height of a slab in degrees
     rows = (
         points.select("id", F.col("latitude").cast("double").alias("lat"), F.col("longitude").cast("double").alias("lon"))
@@ -383,8 +377,24 @@ def points_near_points(points: DataFrame, distance_km: float = 1.0) -> DataFrame
     end = F.when(F.col("half") >= 180, F.lit(180.0)).otherwise(F.col("lon") + F.col("half"))
     touched = F.array_distinct(F.transform(F.sequence(cell_of(start, F.col("n")), cell_of(end, F.col("n"))), lambda i: F.pmod(i, F.col("n"))))
     probes = probes.withColumn("cell", F.explode(touched)).select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "slab", "cell")
-    near = home.join(probes, ["slab", "cell"]).filter((F.col("id") != F.col("id2")) & (haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= distance_km))
-    return near.select(F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b")).distinct()
+    near = home.join(probes, ["slab", "cell"]).filter(F.col("id") != F.col("id2")).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))).filter(F.col("km") <= distance_km)
+    return near.select(F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b"), "km")
+
+
+def points_near_points(points: DataFrame, distance_km: float = 1.0) -> DataFrame:
+    """Pairs of different ids at most distance_km apart.
+
+    points: (id, latitude, longitude). Returns (id_a, id_b) with id_a < id_b,
+    each pair once, whatever the number of rows of an id. Points without usable
+    coordinates or with a null id make no pair; copies of one point make every
+    pair between different ids; an empty table gives no rows.
+    """
+    return _near(points, distance_km).select("id_a", "id_b").distinct()
+
+
+def near_distances(points: DataFrame, distance_km: float) -> DataFrame:
+    """The same pairs with km, the smallest distance between any rows of the two ids."""
+    return _near(points, distance_km).groupBy("id_a", "id_b").agg(F.min("km").alias("km"))
 
 
 def _cells_around(slab: Column, reach: Column | float) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -130,3 +131,107 @@ def random_intercept(df: DataFrame, keys: Sequence[str], group: str, x: str, y:
         return pd.DataFrame([[*(frame[key].iloc[0] for key in keys), int((k * n).sum()), int(k.sum()), float(slope), float(se), float(icc)]], columns=[*keys, "rows", "groups", "slope", "se", "icc"])
 
     return by_size.groupBy(*keys).applyInPandas(fit, f"{kinds}, rows long, groups long, slope double, se double, icc double")
+
+
+def beta_share(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function, by its continued fraction."""
+    if x <= 0 or x >= 1:
+        return 0.0 if x <= 0 else 1.0
+    if x > (a + 1) / (a + b + 2):
+        return 1 - beta_share(b, a, 1 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny = 1e-300
+    c, d = 1.0, 1 - (a + b) * x / (a + 1)
+    d = 1 / (d if abs(d) > tiny else tiny)
+    out = d
+    for k in range(1, 100_000):
+        for term in (k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k)), -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))):
+            d, c = 1 + term * d, 1 + term / c
+            d, c = 1 / (d if abs(d) > tiny else tiny), c if abs(c) > tiny else tiny
+            out *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return front * out
+
+
+def student_p(t: float, df: float) -> float:
+    """Two-sided p of Student's t."""
+    return beta_share(df / 2, 0.5, df / (df + t * t))
+
+
+def sign_p(less: int, more: int) -> float:
+    """Two-sided p of the sign test, exact."""
+    n, k = less + more, min(less, more)
+    return 1.0 if n == 0 else min(1.0, 2 * beta_share(n - k, k + 1, 0.5))
+
+
+def with_p(df: DataFrame, name: str, fn: Callable[..., float], *columns: str) -> DataFrame:
+    """df with a p-value made of its columns; one row per test, so few. A null in any of them gives null."""
+
+    @F.pandas_udf("double")
+    def run(*parts: pd.Series) -> pd.Series:
+        return pd.Series([None if any(pd.isna(v) for v in row) else fn(*row) for row in zip(*parts)], dtype="float64")
+
+    return df.withColumn(name, run(*columns))
+
+
+def ols_test(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """Line of each group with t and p of its slope; groups of fewer than three rows, and exact lines, have nulls."""
+    line = ols_line(df, keys, x, y)
+    t = F.signum("slope") * F.sqrt(F.col("r2") * (F.col("n") - 2) / F.expr("nullif(1 - r2, 0)"))
+    return with_p(line.withColumn("t", F.when(F.col("n") > 2, t)).withColumn("_df", (F.col("n") - 2).cast("double")), "p", student_p, "t", "_df").drop("_df")
+
+
+def sign_test(df: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
+    """(keys, less, more, p): pairs with a below and above b, ties left out, and the p of chance."""
+    counts = df.filter(F.col(a) != F.col(b)).groupBy(*keys).agg(F.count_if(F.col(a) < F.col(b)).alias("less"), F.count_if(F.col(a) > F.col(b)).alias("more"))
+    return with_p(counts, "p", sign_p, "less", "more")
+
+
+def residual_diagnostics(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """(keys, n, breusch_pagan, influential, skew, kurtosis) of the residuals of each group's line.
+
+    breusch_pagan is n R2 of the squared residuals on x; influential counts rows
+    whose Cook's distance exceeds 4 / n. Null x or y are left out.
+    """
+    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).alias("_x"), F.col(y).alias("_y"))
+    line = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.regr_slope("_y", "_x").alias("_b"), F.regr_intercept("_y", "_x").alias("_a"), F.avg("_x").alias("_m"), F.regr_sxx("_y", "_x").alias("_sxx"), F.count(F.lit(1)).alias("_n"), (F.regr_syy("_y", "_x") * (1 - F.regr_r2("_y", "_x"))).alias("_sse")
+    ).filter("_n > 2")
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    e = F.col("_y") - F.col("_a") - F.col("_b") * F.col("_x")
+    own = rows.join(line, on).withColumn("_e", e).withColumn("_h", 1 / F.col("_n") + F.pow(F.col("_x") - F.col("_m"), 2) / F.col("_sxx"))
+    cook = F.col("_e") * F.col("_e") * F.col("_h") / (2 * F.col("_sse") / (F.col("_n") - 2) * F.pow(1 - F.col("_h"), 2))
+    n = F.count(F.lit(1))
+    return own.groupBy(*keys).agg(n.alias("n"), (n * F.pow(F.corr(F.col("_e") * F.col("_e"), "_x"), 2)).alias("breusch_pagan"), F.count_if(cook > 4 / F.col("_n")).alias("influential"), F.skewness("_e").alias("skew"), F.kurtosis("_e").alias("kurtosis"))
+
+
+def thinned_slopes(df: DataFrame, cell: Sequence[str], id_col: str, x: str, y: str, replicates: int, seed: int) -> DataFrame:
+    """(replicate, n, slope): one row of each cell drawn by a seeded digest, and the line through them, for each replicate."""
+    drawn = F.min(F.struct(F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col("replicate").cast("string"), F.col(id_col).cast("string"))), F.col(x).alias("x"), F.col(y).alias("y")))
+    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    picked = rows.groupBy("replicate", *cell).agg(drawn.alias("d"))
+    return picked.groupBy("replicate").agg(F.count(F.lit(1)).alias("n"), F.regr_slope("d.y", "d.x").alias("slope"))
+
+
+def moran_p(points: DataFrame, pairs: DataFrame, replicates: int, seed: int) -> DataFrame:
+    """(n, moran_i, p): Moran's I and the share of seeded permutations of the values that reach it.
+
+    A permutation orders the points by a digest and hands the values on in that
+    order; each replicate is a window of its own over the distinct points.
+    """
+    real = moran_i(points, pairs)
+    copies = points.withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    by_id = copies.withColumn("k", F.row_number().over(Window.partitionBy("r").orderBy("id"))).select("r", "k", "id")
+    by_digest = copies.withColumn("k", F.row_number().over(Window.partitionBy("r").orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), "r", F.col("id").cast("string"))), "id"))).select("r", "k", "value")
+    shuffled = by_id.join(by_digest, ["r", "k"])
+    mean = points.agg(F.avg("value").alias("m"))
+    dev = shuffled.crossJoin(F.broadcast(mean)).select("r", "id", (F.col("value") - F.col("m")).alias("d"))  # one row beside each
+    w = pairs.select("id_a", "id_b", (1 / F.greatest("km", F.lit(0.001))).alias("w"))
+    j = w.join(dev.withColumnsRenamed({"id": "id_a", "d": "da"}), "id_a").join(dev.withColumnsRenamed({"id": "id_b", "d": "db", "r": "r2"}), "id_b").filter("r = r2")
+    drawn = j.groupBy("r").agg((F.sum(F.col("w") * F.col("da") * F.col("db")) / F.sum("w")).alias("num"))
+    spread = points.agg((F.var_pop("value")).alias("v"))
+    found = drawn.crossJoin(F.broadcast(spread)).crossJoin(F.broadcast(real)).select((F.col("num") / F.col("v")).alias("i"), "moran_i", "n")  # one row beside each
+    return found.groupBy("n", "moran_i").agg(((F.count_if(F.col("i") >= F.col("moran_i")) + 1) / (F.count(F.lit(1)) + 1)).alias("p"))
