@@ -449,3 +449,46 @@ PROSE_PROPERTIES = {
 PROSE_VALUE = r"(?<!\w)(-?\d+(?:[.,]\d+)?)\s*(mg\s*/\s*kg|мг\s*/\s*кг|g\s*/\s*kg|г\s*/\s*кг|%|cmol\(?c?\)\s*/\s*kg|dS\s*/\s*m|г\s*/\s*см[³3])"
 PROSE_DEPTH = r"(\d+(?:[.,]\d+)?)\s*[–-]\s*(\d+(?:[.,]\d+)?)\s*(?:cm|см)"
 PROSE_HORIZON = r"(?:горизонт|horizon)\s*([AEOBC][A-Za-z0-9+/.:-]{0,12})\b"
+# Laboratory methods by the words that name them, without case.
+METHODS = {
+    "ph_potentiometric": r"potentiometr\w*|потенциометрическ\w*",
+    "soc_tyurin": r"Тюрин\w*|Tyurin\w*",
+    "soc_walkley_black": r"Walkley[ -]?Black",
+    "soc_dry_combustion": r"dry combustion|elemental analy[sz]er|сух(?:ое|им) сжиган",
+    "nitrogen_kjeldahl": r"Kjeldahl|Кьельдал",
+    "nitrogen_dumas": r"\bDumas\b|Дюма",
+    "phosphorus_olsen": r"\bOlsen\b|Ольсен",
+    "phosphorus_bray": r"\bBray\b|Брэ[йи]",
+    "mehlich_3": r"Mehlich[ -]?3|Мехлич",
+    "chirikov": r"Чириков\w*|Chirikov\w*",
+    "machigin": r"Мачигин\w*|Machigin\w*",
+    "cec_ammonium_acetate": r"ammonium acetate|ацетат(?:а)? аммони",
+    "particle_pipette": r"pipette method|пипеточн\w* метод",
+    "particle_laser": r"laser diffraction|лазерн\w* дифракц",
+    "metals_aas": r"atomic absorption|атомно-абсорбцион",
+    "metals_icp_oes": r"ICP[ -]?(?:OES|AES)|индуктивно-связанн\w* плазм\w*",
+    "metals_icp_ms": r"ICP[ -]?MS",
+    "xrf": r"XRF|рентгенофлуоресцент",
+    "loss_on_ignition": r"loss on ignition|потер[яи] при прокаливан",
+}
+# Administrative names in running text, with case.
+PLACES = {
+    "district": r"\b(?:[A-Z][A-Za-z\-]+(?:\s+[A-Z][A-Za-z\-]+){0,3}\s+(?:district|raion)|[А-ЯЁ][А-Яа-яЁё\-]+(?:\s+[А-ЯЁ][А-Яа-яЁё\-]+){0,3}\s+(?:район(?:е|а|у|ом)?))\b",
+    "region": r"\b(?:[A-Z][A-Za-z\-]+(?:\s+[A-Z][A-Za-z\-]+){0,3}\s+(?:Oblast|Krai|Republic)|[А-ЯЁ][А-Яа-яЁё\-]+(?:\s+[А-ЯЁ][А-Яа-яЁё\-]+){0,3}\s+(?:област[ьи]|кра[ея]|республик[аи]))\b",
+}
+# Names of soils and of land use, without case.
+DESCRIPTIONS = {
+    "soil": (
+        r"\b(?:Chernozem(?:ic)?|Phaeozem|Kastanozem|Retisol|Podzol(?:ic)?|Cambisol|Fluvisol|Gleysol|Leptosol|Solonetz|Solonchak|Arenosol|Histosol|Cryosol|"
+        r"черноз[её]м(?:н\w*)?|дерново[- ]подзолист\w*|подзол\w*|каштанов\w*|солонц\w*|солончак\w*|аллювиальн\w*|сероз[её]м\w*|буроз[её]м\w*|торфян\w*|гле[её]в\w*|мерзлотн\w*)\b"
+    ),
+    "land_use": r"\b(?:arable land|cropland|pasture|grassland|forest(?:ed)?|fallow|orchard|пашн[яи]|сельскохозяйственн\w* угодь\w*|пастбищ\w*|сенокос\w*|лесн\w*|залеж\w*|сад\w*)\b",
+}
+# Words by which a place was studied; words of references and addresses; and words that outweigh these.
+STUDY_CONTEXT = (
+    r"\b(?:study (?:area|site)|research (?:was|has been)|soil (?:samples?|profiles?|pits?)|samples? (?:were|was) (?:collected|taken|analysed|analyzed)|field (?:site|study)|"
+    r"sampling|investigated|examined|located|район исследования|исследуем\w*\s+(?:почв|участ)|почвенн\w*\s+(?:образц|разрез|профил)|отбор\w*\s+(?:почв|образц)|"
+    r"образц\w*\s+почв|разрез\w*|профил\w*|почв\w*\s+(?:отобран|исследован|изучен)|исследован\w*\s+(?:почв|участ)|участк\w*\s+исследован)\b"
+)
+REFERENCE_CONTEXT = r"\b(?:references|литератур|bibliograph|doi\s*[:.]|e-?mail|принят[ао]? в редакц|поступил[ао]? в редакц|институт|university|академи[яи])\b|//"
+SURE_CONTEXT = r"\b(?:район исследования|study area|samples? (?:were|was) (?:collected|taken)|отбор\w*|разрез\w*|profile|soil pit)\b"

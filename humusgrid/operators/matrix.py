@@ -75,3 +75,41 @@ def adjacent_continuations(tables: DataFrame) -> DataFrame:
     w = Window.partitionBy("document_id", "page").orderBy("number", "artifact_id")
     nxt = tables.withColumn("next_id", F.lead("artifact_id").over(w)).withColumn("_n", F.lead("number").over(w)).withColumn("_c", F.lead("columns").over(w))
     return nxt.filter((F.col("_n") == F.col("number") + 1) & (F.col("_c") == F.col("columns"))).select("artifact_id", "next_id")
+
+
+# Fixed value: a mean with its spread.
+MEAN_SPREAD = r"^\s*(-?\d+(?:[.,]\d+)?)\s*(?:±|\+/-)\s*(\d+(?:[.,]\d+)?)\s*(.*?)\s*$"
+
+
+def statistical_cells(cells: DataFrame) -> DataFrame:
+    """(candidate_id, artifact_id, row_index, column_index, value_num, spread, unit, value_text) of cells that state a mean and its spread.
+
+    cells: (artifact_id, row_index, column_index, text_raw). The text is kept as
+    it is; other cells have no row.
+    """
+    number = lambda i: F.translate(F.regexp_extract("text_raw", MEAN_SPREAD, i), ",", ".").try_cast("double")
+    return cells.filter(F.col("text_raw").rlike(MEAN_SPREAD)).select(
+        F.format_string("%s:tm-stat:r%d:c%d", "artifact_id", "row_index", "column_index").alias("candidate_id"), "artifact_id", "row_index", "column_index",
+        number(1).alias("value_num"), number(2).alias("spread"), F.nullif(F.regexp_extract("text_raw", MEAN_SPREAD, 3), F.lit("")).alias("unit"), F.col("text_raw").alias("value_text"),
+    )
+
+
+# Fixed value: formulae whose digits are no numbers.
+FORMULAE = r"(?i)H2O|CO2|CaCO3|P2O5|K2O|SiO2|Al2O3|Fe2O3|NO3|NH4|SO4|HCO3"
+
+
+def is_header_only(text: Column) -> Column:
+    """A header without digits but those of formulae."""
+    return ~F.regexp_replace(text, FORMULAE, "").rlike(r"\d")
+
+
+def split_headers(tables: DataFrame, headers: DataFrame, most_rows: int = 3) -> DataFrame:
+    """(artifact_id, next_id): header tables of at most most_rows rows whose body is the next table of the page.
+
+    tables: (artifact_id, document_id, page, number, columns, rows); headers:
+    (artifact_id, header) of their cells. Every header cell must be without
+    numbers.
+    """
+    numbers = headers.filter(~is_header_only(F.col("header"))).select("artifact_id").distinct()
+    small = tables.filter(F.col("rows") <= most_rows).select("artifact_id").join(numbers, "artifact_id", "left_anti")
+    return adjacent_continuations(tables).join(small, "artifact_id", "left_semi")

@@ -318,3 +318,26 @@ def header_key(header: Column) -> Column:
 def curated_property(header: Column) -> Column:
     """Property of a header in the curated map, else null."""
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in rules.CURATED_HEADERS.items() for x in pair]), header_key(header))
+
+
+def named_terms(df: DataFrame, id_col: str, text_col: str, patterns: dict[str, str], case: bool = False, before: int = 180, after: int = 220) -> DataFrame:
+    """(id_col, position, kind, term, context) of every match of a dictionary of patterns, with the text around it."""
+    id_kind = df.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled = [(k, re.compile(p, 0 if case else re.I)) for k, p in patterns.items()]
+        for batch in batches:
+            rows: list[tuple] = []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                for k, pattern in compiled:
+                    rows += [(i, m.start(), k, m[0], text[max(0, m.start() - before) : m.end() + after].replace("\n", " ")) for m in pattern.finditer(text or "")]
+            at, position, k, term, context = zip(*rows) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(position, pa.int32()), pa.array(k, pa.string()), pa.array(term, pa.string()), pa.array(context, pa.string())], names=[id_col, "position", "kind", "term", "context"])
+
+    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_kind}, position int, kind string, term string, context string")
+
+
+def is_study_context(text: Column) -> Column:
+    """A phrase says that the place was studied, and none of references or addresses stands there unless a sure one outweighs it."""
+    has = lambda p: F.coalesce(text.rlike(f"(?iuU){p}"), F.lit(False))
+    return has(rules.STUDY_CONTEXT) & ~(has(rules.REFERENCE_CONTEXT) & ~has(rules.SURE_CONTEXT))

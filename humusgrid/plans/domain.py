@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from humusgrid.functions import rules
 from humusgrid.operators import merge
 from humusgrid.operators.components import connected_components
 from humusgrid.operators.extract import dms_coordinates
 from humusgrid.operators.headers import classify_headers
-from humusgrid.operators.matrix import cell_candidates
+from humusgrid.operators.matrix import adjacent_continuations, cell_candidates
+from humusgrid.operators.matrix import statistical_cells as read_statistics
 from humusgrid.operators.orphans import key_form
+from humusgrid.operators.places import is_study_context, named_terms
 from humusgrid.operators.quality import decoded_year, horizon_of, plausibility, safe_conversion
 from humusgrid.plans.registry import Registry, Tables
 from humusgrid.streaming.incremental import windowed_totals
@@ -114,6 +117,16 @@ def header_classes(t: Tables) -> DataFrame:
     return classify_headers(t.normalized_table_measurement_candidates, "property_header_raw")
 
 
+@R.query("""SELECT header, property FROM (SELECT DISTINCT property_header_raw AS header, CASE WHEN starts_with(h, 'penetration resistance') THEN 'penetration_resistance' WHEN starts_with(h, 'organic carbon') OR starts_with(h, 'corg') OR starts_with(h, 'soc') OR starts_with(h, 'органический углерод') THEN 'soil_organic_carbon'
+WHEN starts_with(h, 'soil temperature') OR starts_with(h, 'температура почвы') THEN 'soil_temperature' WHEN starts_with(h, 'available k') OR starts_with(h, 'подвижный калий') THEN 'available_potassium' WHEN starts_with(h, 'available p') OR starts_with(h, 'подвижный фосфор') THEN 'available_phosphorus'
+WHEN starts_with(h, 'ksat') OR starts_with(h, 'коэффициент фильтрации') THEN 'saturated_hydraulic_conductivity' WHEN starts_with(h, 'bulk density') OR starts_with(h, 'плотность сложения') THEN 'bulk_density' WHEN starts_with(h, 'total n') OR starts_with(h, 'общий азот') THEN 'total_nitrogen' WHEN starts_with(h, 'sand') OR starts_with(h, 'песок') THEN 'sand'
+WHEN starts_with(h, 'humus') OR starts_with(h, 'organic matter') OR starts_with(h, 'гумус') THEN 'organic_matter' WHEN starts_with(h, 'ph (h2o)') OR starts_with(h, 'ph водный') THEN 'ph_h2o' WHEN starts_with(h, 'electrical conductivity') OR h = 'ec' OR regexp_matches(h, '^ec[ ,:\\[(]') THEN 'electrical_conductivity' WHEN starts_with(h, 'clay') THEN 'clay'
+WHEN starts_with(h, 'cec') THEN 'cation_exchange_capacity' WHEN starts_with(h, 'обменный кальций') THEN 'exchangeable_calcium' WHEN h = 'eh' OR regexp_matches(h, '^eh[ ,:\\[(]') THEN 'redox_potential' END AS property FROM (SELECT property_header_raw, lower(property_header_raw) AS h FROM normalized_table_measurement_candidates)) WHERE property IS NOT NULL""")
+def header_phrases(t: Tables) -> DataFrame:
+    """Headers whose property is named by a phrase."""
+    return classify_headers(t.normalized_table_measurement_candidates, "property_header_raw").filter("kind = 'phrase'").select("header", "property")
+
+
 @R.query()
 def matrix_candidates(t: Tables) -> DataFrame:
     """Candidates re-derived from cells: the measurement tables laid out as grids, headers above values."""
@@ -124,7 +137,9 @@ def matrix_candidates(t: Tables) -> DataFrame:
     return cell_candidates(head.unionByName(body).unionByName(labels))
 
 
-@R.query()
+@R.query("""WITH l AS (SELECT row_label_raw AS s, regexp_extract(row_label_raw, '(?i)^[\\[\\(]?(?:O|H|A|AE|E|EL|BT|B|BC|C|R|AY|AУ|АY|АЕ|А|В|С|D)[0-9a-zа-я’′˙.]{0,6}[\\]\\)]?') AS h FROM normalized_table_measurement_candidates WHERE horizon_label IS NULL AND row_label_raw IS NOT NULL)
+SELECT h AS horizon, count(*) AS n FROM l WHERE h <> '' AND h NOT IN ('Bismuth', 'Burozem', 'Clay', 'Contro', 'Control', 'Ditto', 'High', 'Object', 'Высокие', 'Am.s.', 'Oc.l.', 'A304', 'AlCl3', 'CATq', 'C0rr', 'RZAM')
+AND regexp_matches(substr(s, length(h) + 1), '^[\\s,;|/()\\[\\]~*"''’′-]{0,6}[0-9]+\\s*[–—-]\\s*[0-9]+') GROUP BY 1""")
 def horizon_backfill(t: Tables) -> DataFrame:
     """Horizon read from the row label where none is stored."""
     rows = t.normalized_table_measurement_candidates.filter("horizon_label is null and row_label_raw is not null").withColumn("horizon", horizon_of(F.col("row_label_raw")))
@@ -197,3 +212,79 @@ def case_blind_join(t: Tables) -> DataFrame:
     a = t.profile_evidence.select(key_form(F.col("profile_id")).alias("k"))
     b = t.profile.select(key_form(F.col("profile_id")).alias("k"), "profile_id")
     return a.join(b, "k").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("profile_id").alias("profiles"))
+
+
+_CANDIDATES = "SELECT DISTINCT artifact_id, row_index, column_index, floor(abs(value_num) * 100 + 0.5) / 100 AS v, floor(abs(value_num) * 10 + 0.5) / 100 AS d FROM normalized_table_measurement_candidates WHERE value_num IS NOT NULL AND NOT isnan(value_num) AND abs(value_num) < 1000000 AND artifact_id IS NOT NULL"
+
+
+@R.query(f"""SELECT artifact_id || ':tm-stat:r' || row_index || ':c' || column_index AS candidate_id, v AS value_num, d AS spread FROM ({_CANDIDATES})""")
+def statistical_cells(t: Tables) -> DataFrame:
+    """Means with their spread read back from cells; the cells are printed from the candidates' numbers."""
+    rows = t.normalized_table_measurement_candidates.filter("value_num is not null and not isnan(value_num) and abs(value_num) < 1000000 and artifact_id is not null")
+    text = F.format_string("%.2f ± %.2f %%", F.floor(F.abs("value_num") * 100 + 0.5) / 100, F.floor(F.abs("value_num") * 10 + 0.5) / 100)
+    return read_statistics(rows.select("artifact_id", "row_index", "column_index", text.alias("text_raw")).distinct()).select("candidate_id", "value_num", "spread")
+
+
+@R.query("""WITH c AS (SELECT artifact_id, count(DISTINCT column_index) AS columns FROM normalized_table_measurement_candidates GROUP BY 1), t AS (SELECT DISTINCT a.artifact_id, a.document_id, a.page_start, CAST(regexp_extract(a.table_label, '[0-9]+') AS INTEGER) AS number, columns FROM source_artifact a JOIN c USING (artifact_id) WHERE a.document_id IS NOT NULL AND regexp_matches(a.table_label, '[0-9]+')),
+n AS (SELECT artifact_id, columns, number, lead(artifact_id) OVER w AS next_id, lead(number) OVER w AS next_number, lead(columns) OVER w AS next_columns FROM t WINDOW w AS (PARTITION BY document_id ORDER BY number, artifact_id))
+SELECT artifact_id, next_id FROM n WHERE next_number = number + 1 AND next_columns = columns""")
+def header_continuation(t: Tables) -> DataFrame:
+    """Tables of a document that the next one continues: one number on, as wide."""
+    columns = t.normalized_table_measurement_candidates.groupBy("artifact_id").agg(F.count_distinct("column_index").alias("columns"))
+    number = F.regexp_extract("table_label", "[0-9]+", 0)
+    tables = t.source_artifact.filter("document_id is not null").filter(number != "").select("artifact_id", "document_id", F.lit(0).alias("page"), number.cast("int").alias("number")).distinct().join(columns, "artifact_id")
+    return adjacent_continuations(tables)
+
+
+@R.query("""WITH s AS (SELECT document_id, count(DISTINCT site_id) AS k, min(site_id) AS site FROM reported_site WHERE document_id IS NOT NULL GROUP BY 1), o AS (SELECT artifact_id, min(profile_id) AS profile FROM profile_evidence WHERE evidence_kind = 'table_row' AND artifact_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT profile_id) = 1),
+n AS (SELECT candidate_id, max(value_normalized) AS v, max(unit_normalized) AS u, max(normalization_status) AS st FROM table_measurement_candidate_normalization GROUP BY 1), c AS (SELECT DISTINCT candidate_id, artifact_id, document_id, property_id, row_index, column_index, candidate_status FROM normalized_table_measurement_candidates)
+SELECT substr(sha1(candidate_id), 1, 24) AS observation_id, candidate_id, canonical_name AS property, category, v AS value_normalized, u AS unit_normalized, coalesce(st, 'missing') AS normalization_status, CASE WHEN k = 1 THEN site END AS context_site_id, profile AS profile_id,
+CASE WHEN profile IS NOT NULL THEN 'row_profile_verified' WHEN k IS NULL THEN 'none' WHEN k = 1 THEN 'single_site_context' ELSE 'multiple_sites' END AS spatial_linkage, CASE WHEN profile IS NOT NULL THEN 'flagged' WHEN candidate_status IN ('accepted', 'rejected') THEN candidate_status ELSE 'flagged' END AS qa_status,
+to_json(struct_pack(artifact := artifact_id, "row" := row_index, "column" := column_index)) AS evidence_locator FROM c JOIN property_definition USING (property_id) LEFT JOIN n USING (candidate_id) LEFT JOIN s USING (document_id) LEFT JOIN o USING (artifact_id)""")
+def materialized_observations(t: Tables) -> DataFrame:
+    """Observations with property, unit, quality, place and the cell they came from; a verified row link overrides the document's sites."""
+    s = t.reported_site.filter("document_id is not null").groupBy("document_id").agg(F.count_distinct("site_id").alias("k"), F.min("site_id").alias("site"))
+    o = t.profile_evidence.filter("evidence_kind = 'table_row' and artifact_id is not null").groupBy("artifact_id").agg(F.count_distinct("profile_id").alias("p"), F.min("profile_id").alias("profile")).filter("p = 1").drop("p")
+    n = t.table_measurement_candidate_normalization.groupBy("candidate_id").agg(F.max("value_normalized").alias("v"), F.max("unit_normalized").alias("u"), F.max("normalization_status").alias("st"))
+    c = t.normalized_table_measurement_candidates.select("candidate_id", "artifact_id", "document_id", "property_id", "row_index", "column_index", "candidate_status").distinct()
+    rows = c.join(t.property_definition, "property_id").join(n, "candidate_id", "left").join(s, "document_id", "left").join(o, "artifact_id", "left")
+    linked = F.col("profile").isNotNull()
+    place = F.when(linked, "row_profile_verified").when(F.col("k").isNull(), "none").when(F.col("k") == 1, "single_site_context").otherwise("multiple_sites")
+    qa = F.when(linked, "flagged").when(F.col("candidate_status").isin("accepted", "rejected"), F.col("candidate_status")).otherwise("flagged")
+    locator = F.to_json(F.struct(F.col("artifact_id").alias("artifact"), F.col("row_index").alias("row"), F.col("column_index").alias("column")), {"ignoreNullFields": "false"})
+    return rows.select(
+        F.substring(F.sha1("candidate_id"), 1, 24).alias("observation_id"), "candidate_id", F.col("canonical_name").alias("property"), "category", F.col("v").alias("value_normalized"), F.col("u").alias("unit_normalized"), F.coalesce("st", F.lit("missing")).alias("normalization_status"),
+        F.when(F.col("k") == 1, F.col("site")).alias("context_site_id"), F.col("profile").alias("profile_id"), place.alias("spatial_linkage"), qa.alias("qa_status"), locator.alias("evidence_locator"),
+    )
+
+
+@R.query("""SELECT property_id, count(*) AS rows FROM normalized_table_measurement_candidates WHERE property_id IN ('total_nitrogen', 'available_phosphorus', 'available_potassium') AND property_header_raw IS NOT NULL
+AND NOT regexp_matches(lower(property_header_raw), CASE property_id WHEN 'total_nitrogen' THEN '^(total n|общий азот)' WHEN 'available_phosphorus' THEN '^(available p|подвижный фосфор)' ELSE '^(available k|подвижный калий)' END) GROUP BY 1""")
+def contaminated_properties(t: Tables) -> DataFrame:
+    """Rows of three properties whose header the classifier reads otherwise: what a repair would change."""
+    c = t.normalized_table_measurement_candidates.filter("property_id in ('total_nitrogen', 'available_phosphorus', 'available_potassium') and property_header_raw is not null")
+    found = classify_headers(c, "property_header_raw")
+    rows = c.join(found, F.col("property_header_raw") == F.col("header"), "left")
+    return rows.filter(~F.col("property").eqNullSafe(F.col("property_id"))).groupBy("property_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@R.query()
+def method_mentions(t: Tables) -> DataFrame:
+    """Laboratory methods named in texts."""
+    return named_terms(t.documents, "doc_id", "text", rules.METHODS).select("doc_id", "position", "kind", "term")
+
+
+@R.query("""SELECT document_id, count(*) AS terms FROM (SELECT document_id, unnest(regexp_extract_all(title, '(?i)(?:chernozem(?:ic)?|phaeozem|kastanozem|retisol|podzol(?:ic)?|cambisol|fluvisol|gleysol|leptosol|solonetz|solonchak|arenosol|histosol|cryosol)(?:$|[^a-zа-яё0-9_])')) AS term FROM document WHERE regexp_full_match(title, '[A-Za-z0-9 ,.:-]+')) GROUP BY 1""")
+def soil_terms(t: Tables) -> DataFrame:
+    """Names of soils in titles of plain Latin letters: their number for each document."""
+    rows = t.document.filter(F.col("title").rlike("^[A-Za-z0-9 ,.:-]+$"))
+    return named_terms(rows, "document_id", "title", {"soil": rules.DESCRIPTIONS["soil"]}).groupBy("document_id").agg(F.count(F.lit(1)).alias("terms"))
+
+
+@R.query()
+def promoted_places(t: Tables) -> DataFrame:
+    """Accepted coordinates inside the country whose context says that the place was studied, one label each."""
+    rows = t.location_candidate.filter("status = 'accepted' and country_candidate = 'RU' and latitude between 41 and 82 and longitude between 19 and 180")
+    kept = rows.filter(is_study_context(F.col("context_text")))
+    one = kept.groupBy("extraction_id").agg(F.count_distinct("place_text").alias("n")).filter("n = 1").select("extraction_id")
+    return kept.join(one, "extraction_id", "left_semi").select("candidate_id", "extraction_id", "place_text", "latitude", "longitude").distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from humusgrid.operators import aggregate as agg
 from humusgrid.operators import joins, stats
 from humusgrid.operators.spatial import nearest_other
-from humusgrid.operators.topics import text_topics
+from humusgrid.operators.topics import TOPICS, text_topics
 from humusgrid.plans.registry import Registry, Tables
 
 R = Registry()
@@ -230,7 +230,8 @@ def right_closed_bins(t: Tables) -> DataFrame:
     return rows.groupBy("property_id", "upper").agg(F.count(F.lit(1)).alias("n"), F.avg("value_num").alias("mean")).filter("n >= 8")
 
 
-@R.query()
+@R.query("""WITH d AS (SELECT DISTINCT region, name, site_id FROM reported_site WHERE region IS NOT NULL AND name IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY name, site_id) AS r FROM d)
+SELECT region, list(struct_pack(name := name, site_id := site_id) ORDER BY r) AS items FROM r WHERE r <= 6 GROUP BY 1""")
 def capped_collection(t: Tables) -> DataFrame:
     """At most six named sites of each region, in name order (a map payload)."""
     return agg.capped_lists(t.reported_site.filter("region is not null and name is not null").select("region", "name", "site_id").distinct(), "region", ["name", "site_id"], 6)
@@ -261,11 +262,12 @@ def histogram_clipped(t: Tables) -> DataFrame:
 
 
 @R.query("""SELECT property_id, count(*) AS rows, count(value_num) AS numeric, count(DISTINCT document_id) AS documents, count(DISTINCT artifact_id) AS tables, sum(CASE WHEN candidate_status = 'accepted' THEN 1 ELSE 0 END) AS accepted,
-100.0 * count(unit_raw) / count(*) AS unit_pct, min(value_num) AS lo, max(value_num) AS hi, avg(value_num) AS mean, stddev_samp(value_num) AS sd FROM normalized_table_measurement_candidates GROUP BY 1""")
+100.0 * count(unit_raw) / count(*) AS unit_pct, 100.0 * count(depth_top_cm) / count(*) AS depth_pct, 100.0 * count(horizon_label) / count(*) AS horizon_pct, min(value_num) AS lo, max(value_num) AS hi, avg(value_num) AS mean, stddev_samp(value_num) AS sd FROM normalized_table_measurement_candidates GROUP BY 1""")
 def census(t: Tables) -> DataFrame:
+    share = lambda c: 100.0 * F.count(c) / F.count(F.lit(1))
     return t.normalized_table_measurement_candidates.groupBy("property_id").agg(
         F.count(F.lit(1)).alias("rows"), F.count("value_num").alias("numeric"), F.count_distinct("document_id").alias("documents"), F.count_distinct("artifact_id").alias("tables"), agg.count_where(F.col("candidate_status") == "accepted").alias("accepted"),
-        (100.0 * F.count("unit_raw") / F.count(F.lit(1))).alias("unit_pct"), F.min("value_num").alias("lo"), F.max("value_num").alias("hi"), F.avg("value_num").alias("mean"), F.stddev_samp("value_num").alias("sd"),
+        share("unit_raw").alias("unit_pct"), share("depth_top_cm").alias("depth_pct"), share("horizon_label").alias("horizon_pct"), F.min("value_num").alias("lo"), F.max("value_num").alias("hi"), F.avg("value_num").alias("mean"), F.stddev_samp("value_num").alias("sd"),
     )
 
 
@@ -400,20 +402,24 @@ def topic_census(t: Tables) -> DataFrame:
     return t.document.filter("title is not null").groupBy("corpus", topic.alias("topic")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.query()
+# The engines' word boundary differs for Cyrillic letters; the SQL spells it out.
+_TOPICS = ", ".join(f"('{name}', '" + pattern.replace("\\b", "(?:^|$|[^\\p{L}\\p{N}_])") + "')" for name, pattern in TOPICS.items())
+
+
+@R.query(f"""SELECT split_part(document_id, ':', 1) AS corpus, topic, count(DISTINCT doc_id) AS documents FROM documents, (VALUES {_TOPICS}) AS t(topic, pattern) WHERE regexp_matches(text, '(?is)' || pattern) GROUP BY 1, 2""")
 def text_topic_counts(t: Tables) -> DataFrame:
     """Census of 23 bilingual topics: documents of each corpus with the topic anywhere in their text, several topics a document."""
     corpus = t.documents.select("doc_id", F.split_part("document_id", F.lit(":"), F.lit(1)).alias("corpus")).distinct()
     return text_topics(t.documents, "doc_id", "text").join(corpus, "doc_id").groupBy("corpus", "topic").agg(F.count_distinct("doc_id").alias("documents"))
 
 
-@R.query()
+@R.query(f"""WITH s AS (SELECT DISTINCT doc_id, topic FROM documents, (VALUES {_TOPICS}) AS t(topic, pattern) WHERE regexp_matches(text, '(?is)' || pattern)), n AS (SELECT topic, count(*) AS n FROM s GROUP BY 1)
+SELECT a.topic AS item_a, b.topic AS item_b, count(*) AS shared, any_value(x.n) AS n_a, any_value(y.n) AS n_b, count(*) * 1.0 / (any_value(x.n) + any_value(y.n) - count(*)) AS jaccard FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.topic < b.topic JOIN n x ON x.topic = a.topic JOIN n y ON y.topic = b.topic GROUP BY 1, 2""")
 def text_topic_pairs(t: Tables) -> DataFrame:
     """Pairs of topics in the same documents, with Jaccard."""
     return agg.pair_counts(text_topics(t.documents, "doc_id", "text"), "doc_id", "topic")
 
 
-
 @R.query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE json_valid(props) AND json_extract_string(props, '$.k') IS NOT NULL")
 def json_locator(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k")).filter("k is not null")

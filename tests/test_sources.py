@@ -117,3 +117,26 @@ def test_keyed_writes(spark):
     left = merge.delete_where({"p": t, "c": changes, "x": t}, F.col("v") == "old", "p", "k", ["c"])
     assert sorted(str(r["k"]) for r in left["p"].collect()) == ["None", "b"] and sorted(r["k"] for r in left["c"].collect()) == ["b", "c"] and left["x"].count() == 3
     assert sorted(str(r["k"]) for r in merge.sweep_orphans(t, changes.filter("k = 'a'"), "k").collect()) == ["None", "a"]
+
+
+def test_named_terms_and_contexts(spark):
+    from humusgrid.functions import rules
+
+    df = spark.createDataFrame([("a", "Carbon by Tyurin, then by dry combustion; nitrogen by Kjeldahl.\nICP-MS followed. Duma's house."), ("b", None)], "id string, t string")
+    got = {(r["kind"], r["term"]) for r in places.named_terms(df, "id", "t", rules.METHODS).collect()}
+    assert got == {("soc_tyurin", "Tyurin"), ("soc_dry_combustion", "dry combustion"), ("nitrogen_kjeldahl", "Kjeldahl"), ("metals_icp_ms", "ICP-MS")}
+    where = spark.createDataFrame([("x", "Pits in Verkhny Altai Krai and in the Nizhny Novgorod district")], "id string, t string")
+    assert {(r["kind"], r["term"]) for r in places.named_terms(where, "id", "t", rules.PLACES, case=True).collect()} == {("region", "Verkhny Altai Krai"), ("district", "Nizhny Novgorod district")}
+    texts = ["Soil samples were taken here", "The institute, university press", "samples were taken, university of X", "institute; soil profile investigated at university", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", places.is_study_context(F.col("t")).alias("s")).orderBy("i").collect()
+    assert [r["s"] for r in rows] == [True, False, True, True, False]
+
+
+def test_split_tables_and_statistics(spark):
+    from humusgrid.operators import matrix
+
+    cells = spark.createDataFrame([("a", 1, 2, "12,5 ± 0.4 mg/kg"), ("a", 1, 3, "7 +/- 1"), ("a", 1, 4, "12.5"), ("a", 1, 5, None)], "artifact_id string, row_index int, column_index int, text_raw string")
+    assert [(r["candidate_id"], r["value_num"], r["spread"], r["unit"]) for r in matrix.statistical_cells(cells).orderBy("column_index").collect()] == [("a:tm-stat:r1:c2", 12.5, 0.4, "mg/kg"), ("a:tm-stat:r1:c3", 7.0, 1.0, None)]
+    tables = spark.createDataFrame([("h", "d", 1, 1, 4, 2), ("b", "d", 1, 2, 4, 30), ("n", "d", 1, 3, 4, 2), ("m", "d", 1, 4, 4, 20), ("w", "d", 2, 1, 5, 1)], "artifact_id string, document_id string, page int, number int, columns int, rows int")
+    headers = spark.createDataFrame([("h", "pH H2O"), ("h", "P2O5, mg"), ("n", "layer 10"), ("b", "5")], "artifact_id string, header string")
+    assert [tuple(r) for r in matrix.split_headers(tables, headers).collect()] == [("h", "b")]
