@@ -131,10 +131,10 @@ def label_segments(t: Tables) -> DataFrame:
     return parts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("segments"), F.sum(F.length("segment")).alias("characters"))
 
 
-@R.query("""SELECT DISTINCT region, list_sort(list_filter(string_split(trim(regexp_replace(lower(region), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w NOT IN ('', 'oblast', 'krai', 'republic', 'region', 'district', 'raion', 'russia', 'russian', 'federation'))) AS tokens FROM reported_site WHERE region IS NOT NULL AND regexp_full_match(region, '[A-Za-z ]+')""")
+@R.query("""SELECT DISTINCT region, array_to_string(list_sort(list_filter(string_split(trim(regexp_replace(lower(region), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w NOT IN ('', 'oblast', 'krai', 'republic', 'region', 'district', 'raion', 'russia', 'russian', 'federation'))), ' ') AS tokens FROM reported_site WHERE region IS NOT NULL AND regexp_full_match(region, '[A-Za-z ]+')""")
 def region_tokens(t: Tables) -> DataFrame:
     rows = t.reported_site.filter("region is not null").filter(F.col("region").rlike("^[A-Za-z ]+$")).select("region").distinct()
-    return rows.select("region", F.array_sort(places.place_tokens(F.col("region"))).alias("tokens"))
+    return rows.select("region", F.array_join(F.array_sort(places.place_tokens(F.col("region"))), " ").alias("tokens"))
 
 
 @R.query("SELECT DISTINCT profile_label, substr(trim(regexp_replace(profile_label, '[^\\p{L}\\p{N}-]+', '_', 'g'), '_'), 1, 40) AS label FROM profile WHERE profile_label IS NOT NULL")

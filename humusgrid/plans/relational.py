@@ -231,10 +231,11 @@ def right_closed_bins(t: Tables) -> DataFrame:
 
 
 @R.query("""WITH d AS (SELECT DISTINCT region, name, site_id FROM reported_site WHERE region IS NOT NULL AND name IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY name, site_id) AS r FROM d)
-SELECT region, list(struct_pack(name := name, site_id := site_id) ORDER BY r) AS items FROM r WHERE r <= 6 GROUP BY 1""")
+SELECT region, string_agg(name || '|' || site_id, ';' ORDER BY r) AS items FROM r WHERE r <= 6 GROUP BY 1""")
 def capped_collection(t: Tables) -> DataFrame:
     """At most six named sites of each region, in name order (a map payload)."""
-    return agg.capped_lists(t.reported_site.filter("region is not null and name is not null").select("region", "name", "site_id").distinct(), "region", ["name", "site_id"], 6)
+    lists = agg.capped_lists(t.reported_site.filter("region is not null and name is not null").select("region", "name", "site_id").distinct(), "region", ["name", "site_id"], 6)
+    return lists.select("region", F.array_join(F.transform("items", lambda x: F.concat_ws("|", x["name"], x["site_id"])), ";").alias("items"))
 
 
 @R.query("".join(f"{' UNION ALL ' if i else ''}SELECT '{c}' AS field, count(*) FILTER (WHERE {c} IS NULL{e}) AS missing, count(*) - count(*) FILTER (WHERE {c} IS NULL{e}) AS present FROM reported_site" for i, (c, e) in enumerate((("name", " OR trim(name) = ''"), ("region", " OR trim(region) = ''"), ("latitude", " OR isnan(latitude)"), ("publication_year", ""), ("document_id", " OR trim(document_id) = ''")))))

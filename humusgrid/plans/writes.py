@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from humusgrid.operators import merge
+from humusgrid.operators.aggregate import capped_lists
 from humusgrid.plans.registry import Registry, Tables
 from humusgrid.sources.sql import open_views, run_sql
 
@@ -125,15 +126,13 @@ def json_payloads(t: Tables) -> DataFrame:
 
 
 @R.query("""WITH s AS (SELECT DISTINCT latitude, longitude, document_id, name FROM reported_site WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND document_id IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY latitude, longitude ORDER BY document_id, name) AS r, count(*) OVER (PARTITION BY latitude, longitude) AS n FROM s)
-SELECT latitude, longitude, max(n) AS sources, list(document_id ORDER BY r) AS shown FROM r WHERE r <= 6 GROUP BY 1, 2""")
+SELECT latitude, longitude, max(n) AS sources, string_agg(document_id, ';' ORDER BY r) AS shown FROM r WHERE r <= 6 GROUP BY 1, 2""")
 def map_points(t: Tables) -> DataFrame:
     """Points of a map with the number of their sources and the first six of them."""
     s = t.reported_site.filter("latitude between -90 and 90 and longitude between -180 and 180 and document_id is not null").select("latitude", "longitude", "document_id", "name").distinct()
-    from humusgrid.operators.aggregate import capped_lists
-
     n = s.groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("sources"))
     first = capped_lists(s.withColumn("at", F.struct("latitude", "longitude")), "at", ["document_id", "name"], 6)
-    return first.select("at.*", F.transform("items", lambda x: x["document_id"]).alias("shown")).join(n, ["latitude", "longitude"])
+    return first.select("at.*", F.array_join(F.transform("items", lambda x: x["document_id"]), ";").alias("shown")).join(n, ["latitude", "longitude"])
 
 
 _FREE = """-- a page of questions; the last one is shown

@@ -1,12 +1,11 @@
-"""Registered queries read whole texts."""
+"""Extractors read texts to their end."""
 
-from humusgrid.plans import catalog
+from pyspark.sql import functions as F
 
+from humusgrid.operators.extract import dms_coordinates
 
-def test_dms_extract_beyond_40000_characters(spark, tmp_path):
-    near, far = "66°25'N, 67°18'E", "51°30'N, 36°06'E"
-    over = "x" * 39990 + far  # stands over character 40 000
-    rows = [("a", near + "y" * 50000 + far), ("b", over), ("c", None)]
-    spark.createDataFrame(rows, "extraction_id string, raw_text string").write.parquet(str(tmp_path / "extraction.parquet"))
-    got = sorted((r["extraction_id"], round(r["latitude"], 3), round(r["longitude"], 3)) for r in catalog.QUERIES["dms_extract"](spark, str(tmp_path)).collect())
-    assert got == [("a", 51.5, 36.1), ("a", 66.417, 67.3), ("b", 51.5, 36.1)]
+
+def test_dms_beyond_40000_characters(spark):
+    texts = spark.createDataFrame([("e1", "x " * 25_000 + "55°45'12\" N, 37°37'04\" E")], "extraction_id string, raw_text string").withColumn("position", F.lit("clash"))
+    row = dms_coordinates(texts, "extraction_id", "raw_text", 0, None).first()
+    assert round(row["latitude"], 4) == 55.7533 and round(row["longitude"], 4) == 37.6178
