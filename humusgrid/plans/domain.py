@@ -146,14 +146,20 @@ def horizon_backfill(t: Tables) -> DataFrame:
     return rows.filter("horizon is not null").groupBy("horizon").agg(F.count(F.lit(1)).alias("n"))
 
 
+@R.query()
+def dms_extract(t: Tables) -> DataFrame:
+    """Coordinates in degrees, minutes and seconds anywhere in the extracted texts."""
+    return dms_coordinates(t.extraction.filter("raw_text is not null"), "extraction_id", "raw_text", 0, None)
+
+
 _SECONDS = "floor(({0} * 60 - floor({0} * 60)) * 60 + 0.5)"
 
 
 @R.query(f"""WITH s AS (SELECT DISTINCT candidate_id, latitude, longitude, abs(latitude) AS a, abs(longitude) AS o FROM location_candidate WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND candidate_id IS NOT NULL)
 SELECT candidate_id, CASE WHEN latitude < 0 THEN -1 ELSE 1 END * (floor(a) + floor((a - floor(a)) * 60) / 60 + {_SECONDS.format("a")} / 3600) AS latitude, CASE WHEN longitude < 0 THEN -1 ELSE 1 END * (floor(o) + floor((o - floor(o)) * 60) / 60 + {_SECONDS.format("o")} / 3600) AS longitude
 FROM s WHERE {_SECONDS.format("a")} <= 59 AND {_SECONDS.format("o")} <= 59""")
-def dms_extract(t: Tables) -> DataFrame:
-    """First coordinate of a text in degrees, minutes and seconds; here of the candidates' contexts, behind which their coordinate is printed."""
+def precise_coordinate(t: Tables) -> DataFrame:
+    """Coordinate of a text in degrees, minutes and seconds; here of the candidates' contexts, behind which their coordinate is printed."""
     rows = t.location_candidate.filter("latitude between -90 and 90 and longitude between -180 and 180 and candidate_id is not null")
 
     def printed(x: Column, negative: str, positive: str) -> Column:
