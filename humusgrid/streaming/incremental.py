@@ -9,36 +9,48 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from humusgrid.operators.merge import upsert
+from humusgrid.session import cut_lineage, drop_stage
 
 
-def merge_into(path: str, keys: Sequence[str], columns: Sequence[str], order: str | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that merges each batch into a versioned folder of Parquet tables.
+#: Parts of a merged table; a batch rewrites those that it touches.
+BUCKETS = 64
 
-    Every batch writes a new version beside the old one, named by the batch, so
-    that a batch repeated after a failure gives the same table.
+
+def merge_into(path: str, keys: Sequence[str], columns: Sequence[str], order: str | None = None, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that merges each batch into a table of Parquet files, cut into buckets by key.
+
+    A batch reads and overwrites only the buckets its keys fall into. A batch
+    repeated after a failure finds its own rows and gives the same table.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        now = latest(spark, path, below=number)
-        new = batch if now is None else upsert(now, batch, keys, columns, order)
-        if now is None:
-            new = upsert(batch.limit(0), batch, keys, columns, order)
-        new.write.mode("overwrite").parquet(f"{path}/version={number:012d}")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        new = cut_lineage(batch.withColumn("bucket", bucket), "batch")
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]  # at most as many as buckets
+        if not touched:
+            return
+        now = _table(spark, path)
+        held = new.limit(0) if now is None else now.filter(F.col("bucket").isin(touched)).select(*new.columns)
+        # what is overwritten must not be read any more
+        merged = cut_lineage(upsert(held, new, keys, [*columns, "bucket"], order), "merged")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+        drop_stage(merged)
+        drop_stage(new)
 
     return run
 
 
-def latest(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
-    """Newest version of a merged table, or None."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    numbers = [n for n in names if n.startswith("version=") and (below is None or int(n[8:]) < below)]
-    return spark.read.parquet(f"{path}/{numbers[-1]}") if numbers else None
+    return spark.read.parquet(path) if fs.exists(root) and any(s.getPath().getName().startswith("bucket=") for s in fs.listStatus(root)) else None
+
+
+def latest(spark: SparkSession, path: str) -> DataFrame | None:
+    """The merged table as it is, or None."""
+    now = _table(spark, path)
+    return None if now is None else now.drop("bucket")
 
 
 def start_merge(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], columns: Sequence[str], order: str | None = None) -> StreamingQuery:
