@@ -78,6 +78,18 @@ def sample_skewness(value: str) -> Column:
     return F.when(n > 2, F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
+def auto_log(df: DataFrame, key: str, value: str, exempt: Sequence[str] = (), least: int = 3) -> DataFrame:
+    """df with (use_log, transformed): the logarithm where a key's values are skewed beyond 1 and none is negative.
+
+    Values below half the least positive one are raised to it. Keys in exempt,
+    and keys of fewer than `least` values, keep their values; the latter are left out.
+    """
+    skew = sample_skewness(value)
+    rule = df.groupBy(F.col(key).alias("_k")).agg(((skew > 1) & (F.min(value) >= 0)).alias("_log"), (F.min(F.when(F.col(value) > 0, F.col(value))) / 2).alias("_floor"), F.count(value).alias("_n")).filter(F.col("_n") >= least)
+    joined = df.join(rule, F.col(key) == F.col("_k")).withColumn("use_log", F.coalesce("_log", F.lit(False)) & ~F.col(key).isin(*exempt) if exempt else F.coalesce("_log", F.lit(False)))
+    return joined.withColumn("transformed", F.when(F.col("use_log"), F.log(F.greatest(value, "_floor"))).otherwise(F.col(value))).drop("_k", "_log", "_floor", "_n")
+
+
 def moran_i(points: DataFrame, pairs: DataFrame) -> DataFrame:
     """Moran's I by inverse distance. points: (id, value); pairs: (id_a, id_b, km) within the reach, each once."""
     mean = points.agg(F.avg("value").alias("m"))
@@ -90,7 +102,7 @@ def moran_i(points: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def random_intercept(df: DataFrame, keys: Sequence[str], group: str, x: str, y: str) -> DataFrame:
-    """Random-intercept model by restricted likelihood: slope, its standard error, intraclass correlation.
+    """Random-intercept model by restricted likelihood: slope, its standard error, 95 percent interval and p, intraclass correlation.
 
     A group of rows enters the likelihood by seven sums only, which Spark makes;
     the fit of one key sees one row of sums per random group.
@@ -128,9 +140,9 @@ def random_intercept(df: DataFrame, keys: Sequence[str], group: str, x: str, y:
                 a, b = low + (high - low) * 0.382, low + (high - low) * 0.618
                 low, high = (low, b) if at(a)[0] <= at(b)[0] else (a, high)
             _, slope, se, icc = at((low + high) / 2)
-        return pd.DataFrame([[*(frame[key].iloc[0] for key in keys), int((k * n).sum()), int(k.sum()), float(slope), float(se), float(icc)]], columns=[*keys, "rows", "groups", "slope", "se", "icc"])
+        return pd.DataFrame([[*(frame[key].iloc[0] for key in keys), int((k * n).sum()), int(k.sum()), float(slope), float(se), float(slope - 1.96 * se), float(slope + 1.96 * se), math.erfc(abs(slope / se) / math.sqrt(2)) if se > 0 else float("nan"), float(icc)]], columns=[*keys, "rows", "groups", "slope", "se", "low", "high", "p", "icc"])
 
-    return by_size.groupBy(*keys).applyInPandas(fit, f"{kinds}, rows long, groups long, slope double, se double, icc double")
+    return by_size.groupBy(*keys).applyInPandas(fit, f"{kinds}, rows long, groups long, slope double, se double, low double, high double, p double, icc double")
 
 
 def beta_share(a: float, b: float, x: float) -> float:
