@@ -321,6 +321,25 @@ def test_subjects_on_held_out_labels(spark):
     assert hit / told > 0.9 and hit / true > 0.9, (hit, told, true)
 
 
+def test_sums_do_not_depend_on_rounds(spark):
+    rng = np.random.default_rng(6)
+    bags = spark.createDataFrame([(i, rng.integers(0, 900, rng.integers(1, 30)).tolist()) for i in range(400)], "id int, words array<int>")
+    beta = spark.sparkContext.broadcast(subjects.word_shares(rng.gamma(0.3, 1.0, (7, 900)) + 1e-6))
+    one, many = (subjects.expected_counts(bags.repartition(n), beta, 3) for n in (1, 70))
+    assert one.shape == (7, 900) and np.allclose(one, many, rtol=1e-4, atol=1e-4)
+    assert one.sum() == pytest.approx(sum(len(r["words"]) for r in bags.collect()), rel=1e-4)
+
+
+def test_subjects_come_from_the_fitted_topics(spark):
+    t = lambda n: spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet")
+    model, _ = subjects.fit_subjects(t("documents"), t("subjects"), t("doc_labels"))
+    assert len(model.subjects) > 2 * len(model.names) and set(model.subjects) == {*model.names, None}
+    spoken = {s: {w for words, n in zip(model.top_terms(), model.subjects) if n == s for w in words} for s in model.names}
+    assert {"peat", "bog"} & spoken["peatlands"] and {"thaw", "frozen"} & spoken["permafrost"]
+    fitted, started = ({tuple(r) for r in subjects.document_subjects(t("documents"), t("subjects"), t("doc_labels"), passes=n).select("doc_id", "subject").collect()} for n in (subjects.PASSES, 0))
+    assert fitted != started and len(fitted & started) > 0.9 * len(fitted)
+
+
 def test_subjects_defined_cases(spark):
     salt, peat = "salt crusts rise in saline soils and salt flats crack", "peat bogs hold water and bog peat burns slowly"
     docs = [(i, salt if i % 2 else peat) for i in range(40)] + [(100, None), (101, ""), (102, " \n"), (103, "1. 5 - 7\n2. 8 - 9"), (104, f"{salt}.\n\n{peat}."), (104, f"{salt}.\n\n{peat}.")]
