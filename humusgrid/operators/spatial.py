@@ -358,24 +358,16 @@ def _near(points: DataFrame, distance_km: float) -> DataFrame:
     )
     slab = F.floor((F.col("lat") + 90) / reach)
 
-    def cells_in(s: Column) -> Column:
-        """Cells around the globe in slab s: each at least one reach wide at its narrowest latitude."""
-        far = F.greatest(F.abs(s * reach - 90), F.abs((s + 1) * reach - 90))
-        return F.greatest(F.lit(1), F.floor(F.cos(F.radians(F.least(far, F.lit(90.0)))) * 360 / reach)).cast("long")
-
-    def cell_of(lon: Column, n: Column) -> Column:
-        return F.floor((lon + 180) / 360 * n).cast("long")
-
-    home = rows.withColumn("slab", slab).withColumn("n", cells_in(F.col("slab")))
-    home = home.withColumn("cell", F.pmod(cell_of(F.col("lon"), F.col("n")), F.col("n"))).select("id", "lat", "lon", "slab", "cell")
+    home = rows.withColumn("slab", slab).withColumn("n", _cells_around(F.col("slab"), reach))
+    home = home.withColumn("cell", F.pmod(_cell_at(F.col("lon"), F.col("n")), F.col("n"))).select("id", "lat", "lon", "slab", "cell")
     # the disc's greatest half width in degrees of longitude
     c = F.cos(F.radians(F.least(F.abs(F.col("lat")) + reach, F.lit(90.0))))
     half = F.when(c * 180 > reach * 1.001, reach * 1.001 / c).otherwise(F.lit(180.0))
     probes = rows.withColumn("own", slab).withColumn("half", F.least(half, F.lit(180.0)))
-    probes = probes.withColumn("slab", F.explode(F.array("own", F.col("own") + 1))).withColumn("n", cells_in(F.col("slab")))
+    probes = probes.withColumn("slab", F.explode(F.array("own", F.col("own") + 1))).withColumn("n", _cells_around(F.col("slab"), reach))
     start = F.when(F.col("half") >= 180, F.lit(-180.0)).otherwise(F.when(F.col("slab") == F.col("own"), F.col("lon")).otherwise(F.col("lon") - F.col("half")))
     end = F.when(F.col("half") >= 180, F.lit(180.0)).otherwise(F.col("lon") + F.col("half"))
-    touched = F.array_distinct(F.transform(F.sequence(cell_of(start, F.col("n")), cell_of(end, F.col("n"))), lambda i: F.pmod(i, F.col("n"))))
+    touched = F.array_distinct(F.transform(F.sequence(_cell_at(start, F.col("n")), _cell_at(end, F.col("n"))), lambda i: F.pmod(i, F.col("n"))))
     probes = probes.withColumn("cell", F.explode(touched)).select(F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), "slab", "cell")
     near = home.join(probes, ["slab", "cell"]).filter(F.col("id") != F.col("id2")).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))).filter(F.col("km") <= distance_km)
     return near.select(F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b"), "km")
