@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import os
 import shutil
+import sys
 import tempfile
 import uuid
 
@@ -96,4 +97,4 @@ def _drop_at_exit(spark: SparkSession) -> None:
     try:
         drop_stages(spark)
     except Exception as error:  # the JVM may be gone; the folder's owner then removes it
-        print(f"tables left in the shared folder: {error}")
+        print(f"tables left in the shared folder: {error}", file=sys.stderr)
