@@ -138,9 +138,9 @@ def look_alike_pairs(df: DataFrame, id_col: str, text_col: str, scope_col: str |
     """
     scope = F.col(scope_col) if scope_col else F.lit("")
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), scope.alias("scope")).filter("id is not null and text is not null and scope is not null")
-    looks = distinct_looks(rows)
+    looks = cut_lineage(distinct_looks(rows), "looks")
     forms = looks.groupBy("look").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).filter("lo <> hi").select("look")
-    varied = cut_lineage(looks.join(forms, "look", "left_semi"), "varied")
+    varied = looks.join(forms, "look", "left_semi")
     kept = cut_lineage(rows.join(varied, "text").distinct(), "kept")
     texts = kept.select("look", "scope", "text").distinct()
     a, b = (texts.select("look", "scope", F.col("text").alias(f"text_{k}")) for k in "ab")
