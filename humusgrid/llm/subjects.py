@@ -290,9 +290,10 @@ def start_topics(bags: DataFrame, n_words: int, uses: np.ndarray, topics: int, s
     far = 1 - x @ x[0]
     while len(centres) < topics and (weight := far.clip(1e-6) ** 2 * (far > 1e-4)).sum() > 0:
         tries = rng.choice(len(x), 8, p=weight / weight.sum())
-        best = min(tries, key=lambda j: np.minimum(far, 1 - x @ x[j]).sum())
-        centres.append(int(best))
-        far = np.minimum(far, 1 - x @ x[best])
+        reached = np.minimum(far, 1 - x[tries] @ x.T)
+        best = int(reached.sum(axis=1).argmin())
+        centres.append(int(tries[best]))
+        far = reached[best]
     centre = x[centres].copy()
     for _ in range(10):
         own = (x @ centre.T).argmax(axis=1)
