@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from humusgrid.operators.joins import asof
-from humusgrid.session import cut_lineage
+from humusgrid.operators.joins import asof, ordered_part
 
 
 def count_where(condition: Column) -> Column:
@@ -92,7 +91,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, picks: dict[
     """(keys, n, picks): quantiles by linear interpolation of each group, exact, null values left out.
 
     Equal values are counted first (map side), then ranked by prefix sums over
-    range partitions, so neither a group's values nor its ranks meet in one task
+    ordered parts, so neither a group's values nor its ranks meet in one task
     however large the group is.
     """
     ranked = ranked_values(df, keys, value)
@@ -108,15 +107,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, picks: dict[
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, _v, _c, _before, _n): each distinct value of a group, its rows, the rows below it, the rows of the group.
 
-    Distinct values are range-partitioned by key and value and summed within
-    partitions; the sums of the partitions before are added by a join, so a
-    group of any size is spread over partitions.
+    Distinct values are cut into ordered parts by their magnitude and summed
+    within a part; the sums of the parts before are added by a join, so a group
+    of any size is spread over tasks, with no sampling and no pass more.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    spread = counted.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id())
-    spread = cut_lineage(spread, "ranks")
+    spread = counted.withColumn("_part", ordered_part(F.col("_v")))
     parts = spread.groupBy(*keys, "_part").agg(F.sum("_c").alias("_s"))
-    # one row per group and partition: as few as partitions and groups
+    # one row per group and part
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.withColumn("_base", F.coalesce(F.sum("_s").over(earlier), F.lit(0))).withColumn("_n", F.sum("_s").over(Window.partitionBy(*keys)))
     within = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from humusgrid.session import cut_lineage
-
 
 def unique_partner(links: DataFrame, key: str, partner: str) -> DataFrame:
     """Keys with exactly one distinct partner."""
@@ -60,30 +58,43 @@ def mutual_best(pairs: DataFrame, a: str, b: str, score: str, margin: float, no_
     return out.filter(f"_rank_{a} = 1 and _rank_{b} = 1").filter(F.col("margin") >= margin).drop(*[f"_{k}_{s}" for k in ("rank", "next") for s in (a, b)])
 
 
+#: Parts of an octave of magnitudes, and the width in microseconds of a part of times.
+OCTAVE, DAY = 1024, 86_400_000_000
+
+
+def ordered_part(value: Column, kind: str = "double") -> Column:
+    """Number of the part a value falls into; a larger value is never in a lower part. Times go by days, numbers by magnitude."""
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return F.floor(F.unix_micros(value.cast("timestamp")) / DAY)
+    v = value.cast("double")
+    far, most = 4_000_000, 1 << 40
+    part = F.floor(F.log2(F.abs(v)) * OCTAVE) + far
+    return F.when(F.isnan(v), F.lit(most + 1)).when(F.abs(v) == float("inf"), F.when(v > 0, F.lit(most)).otherwise(F.lit(-most))).when(v > 0, part).when(v < 0, -part).when(v == 0, F.lit(0))
+
+
 def asof(left: DataFrame, right: DataFrame, on: Sequence[str], left_at: str, right_at: str, carry: Sequence[str], forward: bool = False, within: Column | None = None) -> DataFrame:
     """Each left row with the nearest right row of its key at or before (or strictly after) it.
 
-    Both sides are put in one stream, sorted by key and time over range
-    partitions, and the last right row is carried along within each partition
-    and from one to the next, so a hot key is spread over partitions. Ties on
-    the right go to the largest carried values (forward, the smallest); a left
-    row without partner, and
-    one with a null key or time, has nulls.
+    Both sides are put in one stream, cut into ordered parts by time, and the
+    last right row is carried along within each part and from one to the next,
+    so a hot key is spread over tasks. Ties on the right go to the largest
+    carried values (forward, the smallest); a left row without partner, and one
+    with a null key or time, has nulls.
     """
     names = left.columns
     pack = F.struct(F.col(right_at).alias("at"), *[F.col(c).alias(c) for c in carry])
     r = right.select(*on, F.col(right_at).alias("_at"), F.lit(0 if not forward else 1).alias("_side"), pack.alias("_r")).dropna(subset=[*on, "_at"])
     own = left.select(*on, F.col(left_at).alias("_at"), F.lit(1 if not forward else 0).alias("_side"), F.struct(*names).alias("_l"))
-    both = own.unionByName(r, allowMissingColumns=True)
-    spread = cut_lineage(both.repartitionByRange(*on, "_at").withColumn("_part", F.spark_partition_id()), "asof")
+    part = ordered_part(F.col("_at"), dict(right.dtypes)[right_at])
+    spread = own.unionByName(r, allowMissingColumns=True).withColumn("_part", part)
     # forward, equal times do not count as after: they come later in the order of falling times
     order = [F.desc("_at"), "_side", F.desc("_r")] if forward else ["_at", "_side", "_r"]
-    part = F.desc("_part") if forward else F.asc("_part")
-    held = F.when(F.col("_r").isNotNull(), F.struct("_at", "_r"))
-    ends = spread.groupBy(*on, "_part").agg((F.min(held) if forward else F.max(held))["_r"].alias("_end"))
-    # one row per key and partition
-    before = Window.partitionBy(*on).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).drop("_end").withColumnsRenamed({**{c: f"_on_{c}" for c in on}, "_part": "_p"})
+    held = F.struct("_at", "_r")
+    ends = r.withColumn("_part", part).groupBy(*on, "_part").agg((F.min(held) if forward else F.max(held))["_r"].alias("_end"))
+    # parts of left rows alone, too, carry what came before: one row per key and part
+    every = ends.unionByName(own.withColumn("_part", part).select(*on, "_part").distinct(), allowMissingColumns=True).groupBy(*on, "_part").agg(F.max("_end").alias("_end"))
+    before = Window.partitionBy(*on).orderBy(F.desc("_part") if forward else F.asc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = every.withColumn("_carried", F.last("_end", ignorenulls=True).over(before)).drop("_end").withColumnsRenamed({**{c: f"_on_{c}" for c in on}, "_part": "_p"})
     w = Window.partitionBy(*on, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     found = spread.withColumn("_f", F.last("_r", ignorenulls=True).over(w)).filter("_l is not null")
     same = F.col("_part") == F.col("_p")
@@ -98,9 +109,14 @@ def asof(left: DataFrame, right: DataFrame, on: Sequence[str], left_at: str, rig
 
 
 def next_rows(df: DataFrame, on: Sequence[str], order: Sequence[str], carry: dict[str, str]) -> DataFrame:
-    """df with columns of the next row of the key in order (names by carry), null for the last one; a hot key is spread over range partitions."""
+    """df with columns of the next row of the key in order (names by carry), null for the last one.
+
+    The first column of the order, a time or a number, cuts the rows into
+    ordered parts, so a hot key is spread over tasks; its nulls come first.
+    """
     pack = F.struct(*carry)
-    spread = cut_lineage(df.repartitionByRange(*on, *order).withColumn("_part", F.spark_partition_id()), "next")
+    part = F.coalesce(ordered_part(F.col(order[0]), dict(df.dtypes)[order[0]]), F.lit(-(1 << 50)))
+    spread = df.withColumn("_part", part)
     first = spread.groupBy(*on, "_part").agg(F.min(F.struct(*order, pack.alias("_x")))["_x"].alias("_first"))
     ahead = Window.partitionBy(*on).orderBy("_part")
     following = first.withColumn("_over", F.lead("_first").over(ahead)).drop("_first").withColumnsRenamed({**{c: f"_on_{c}" for c in on}, "_part": "_p"})
