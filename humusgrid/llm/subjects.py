@@ -421,7 +421,7 @@ def fit_subjects(documents: DataFrame, subjects: DataFrame, labels: DataFrame, i
         for token in (r["description"] or "").split():
             if (w := place.get(word_hash(word_key(token)))) is not None:
                 described[i, w] += 1
-    named = labels.select(F.col(id_col).alias("id"), "subject").filter(F.col("id").isNotNull()).join(F.broadcast(subjects.select("subject").distinct()), "subject").distinct()
+    named = labels.select(F.col(id_col).alias("id"), "subject").filter(F.col("id").isNotNull()).join(subjects.select("subject").distinct(), "subject").distinct()
     # as many as the bound holds, in the order of a hash, which any number of documents shares
     held = named.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(LABELLED)
     number = {s: i for i, s in enumerate(names)}
