@@ -139,12 +139,12 @@ def unique_key_report(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
 def zip_lists(df: DataFrame, key: str, first: str, second: str, order: str, least: int = 2, most: int = 12) -> DataFrame:
     """(key, position, first, second): two lists of a key, nulls left out, paired by position where both are of one length from least to most.
 
-    Each list is in the order of `order`, then of its values; longer lists are
-    left out by their counts before any list is made.
+    Each list is in the order of `order`, nulls last, then of its values; longer
+    lists are left out by their counts before any list is made.
     """
     counts = df.groupBy(key).agg(F.count(first).alias("_a"), F.count(second).alias("_b")).filter((F.col("_a") == F.col("_b")) & F.col("_a").between(least, most)).select(key)
     kept = df.join(counts, key, "left_semi")
-    listed = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))), lambda x: x["v"])
+    listed = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct(F.col(order).isNull().alias("last"), F.col(order).alias("o"), F.col(c).alias("v"))))), lambda x: x["v"])
     both = kept.groupBy(key).agg(F.arrays_zip(listed(first).alias(first), listed(second).alias(second)).alias("_z"))
     return both.select(key, F.posexplode("_z").alias("position", "_p")).select(key, "position", F.col(f"_p.{first}").alias(first), F.col(f"_p.{second}").alias(second))
 

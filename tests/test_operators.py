@@ -172,6 +172,12 @@ def test_label_in_text_and_zip(spark):
     assert [tuple(r) for r in joins.zip_lists(points, "k", "a", "b", "o").orderBy("position").collect()] == [("k", 0, 2.0, 5.0), ("k", 1, 3.0, 6.0)]
 
 
+def test_zip_puts_rows_without_order_last(spark):
+    """As in the SQL; a struct alone would order them first. NaN is a value."""
+    points = spark.createDataFrame([("k", None, 1.0, 5.0), ("k", "b", 2.0, 6.0), ("k", None, 0.5, None), ("k", "a", None, float("nan"))], "k string, o string, a double, b double")
+    assert [str(tuple(r)) for r in joins.zip_lists(points, "k", "a", "b", "o").orderBy("position").collect()] == ["('k', 0, 2.0, nan)", "('k', 1, 0.5, 6.0)", "('k', 2, 1.0, 5.0)"]
+
+
 def test_redirects_follow_chains_and_loops(spark):
     log = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("y", "x"), ("s", "s"), (None, "q"), ("m", "n"), ("m", "o")], "r string, c string")
     got = {r["id"]: r["survivor"] for r in merge.final_survivors(log, "r", "c").collect()}
