@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from humusgrid.operators import stats
 from humusgrid.operators.aggregate import exact_quantiles, ranked_values
+from humusgrid.operators.autocorrelation import moran_near
 from humusgrid.operators.components import connected_components
 from humusgrid.operators.spatial import near_distances
 from humusgrid.plans.registry import Registry, Tables
@@ -52,23 +53,23 @@ def thinned_trend(t: Tables) -> DataFrame:
     return exact_quantiles(slopes, ["_g"], "slope", {"low": 0.025, "median": 0.5, "high": 0.975}).select(F.col("n").alias("replicates"), "low", "median", "high")
 
 
-def _moran(t: Tables) -> tuple[DataFrame, DataFrame]:
+def _dated_sites(t: Tables) -> DataFrame:
     rows = t.reported_site.filter(_SITES + " and publication_year is not null and site_id is not null")
-    points = rows.groupBy("site_id").agg(F.min(F.struct("latitude", "longitude", "publication_year")).alias("m")).select(F.col("site_id").alias("id"), "m.latitude", "m.longitude", F.col("m.publication_year").cast("double").alias("value"))
-    return points.select("id", "value"), near_distances(points, 500.0)
+    return rows.groupBy("site_id").agg(F.min(F.struct("latitude", "longitude", "publication_year")).alias("m")).select(F.col("site_id").alias("id"), "m.latitude", "m.longitude", F.col("m.publication_year").cast("double").alias("value"))
 
 
 @R.query(f"""WITH p AS (SELECT site_id AS id, min(struct_pack(y := latitude, x := longitude, v := publication_year)) AS m FROM reported_site WHERE {_SITES} AND publication_year IS NOT NULL AND site_id IS NOT NULL GROUP BY 1), s AS (SELECT id, m.y AS y, m.x AS x, m.v - avg(m.v) OVER () AS d FROM p),
 w AS (SELECT a.d AS da, b.d AS db, 1 / greatest({_KM}, 0.001) AS w FROM s a JOIN s b ON a.id < b.id WHERE {_KM} <= 500), o AS (SELECT count(*) AS n, sum(d * d) AS ss FROM s) SELECT max(n) AS n, max(n) * sum(w * da * db) / (sum(w) * max(ss)) AS moran_i FROM w, o""")
 def moran(t: Tables) -> DataFrame:
     """Moran's I of the publication years of sites, by inverse distance up to 500 km."""
-    return stats.moran_i(*_moran(t))
+    return moran_near(_dated_sites(t), 500.0)
 
 
 @R.query()
 def moran_permutations(t: Tables) -> DataFrame:
     """The same with its p over 99 seeded permutations."""
-    return stats.moran_p(*_moran(t), 99, 20260803)
+    points = _dated_sites(t)
+    return stats.moran_p(points.select("id", "value"), near_distances(points, 500.0), 99, 20260803)
 
 
 @R.query("""WITH g AS (SELECT DISTINCT c_mktsegment AS g FROM customer), p AS (SELECT a.g AS a, b.g AS b FROM g a JOIN g b ON a.g < b.g), d AS (SELECT a, b, c_mktsegment AS g, c_acctbal AS v FROM p JOIN customer ON c_mktsegment = a OR c_mktsegment = b),
