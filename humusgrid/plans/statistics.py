@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from humusgrid.operators import stats
 from humusgrid.operators.aggregate import exact_quantiles, ranked_values
-from humusgrid.operators.autocorrelation import moran_near
+from humusgrid.operators.autocorrelation import moran_near, moran_near_p
 from humusgrid.operators.components import connected_components
 from humusgrid.operators.spatial import near_distances
 from humusgrid.plans.registry import Registry, Tables
@@ -68,8 +68,7 @@ def moran(t: Tables) -> DataFrame:
 @R.query()
 def moran_permutations(t: Tables) -> DataFrame:
     """The same with its p over 99 seeded permutations."""
-    points = _dated_sites(t)
-    return stats.moran_p(points.select("id", "value"), near_distances(points, 500.0), 99, 20260803)
+    return moran_near_p(_dated_sites(t), 500.0, 99, 20260803)
 
 
 @R.query("""WITH g AS (SELECT DISTINCT c_mktsegment AS g FROM customer), p AS (SELECT a.g AS a, b.g AS b FROM g a JOIN g b ON a.g < b.g), d AS (SELECT a, b, c_mktsegment AS g, c_acctbal AS v FROM p JOIN customer ON c_mktsegment = a OR c_mktsegment = b),

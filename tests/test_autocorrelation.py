@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from humusgrid.operators import autocorrelation
-from humusgrid.operators.autocorrelation import moran_near
+from humusgrid.operators.autocorrelation import moran_near, moran_near_p
 from humusgrid.plans import catalog
 
 SCHEMA = "id string, latitude double, longitude double, value double"
@@ -61,14 +61,16 @@ def test_against_brute_force(spark, monkeypatch, reach, chunk):
     edges = [(10.0, 180.0), (10.001, -180.0), (10.0, 179.999), (90.0, 5.0), (89.999, -170.0), (-90.0, 0.0), (-89.9, 77.0), (10.0, 180.0)]
     rows = [(f"p{i}", float(a), float(b), float(i % 7 + a / 9)) for i, (a, b) in enumerate([*globe, *edges])]
     points = spark.createDataFrame(rows, SCHEMA)
-    real, _ = brute(rows, reach)
+    real, p = brute(rows, reach, 19, 5)
     assert moran_near(points, reach).first()["moran_i"] == pytest.approx(real, rel=1e-9)
+    got = moran_near_p(points, reach, 19, 5).first()
+    assert got["n"] == len(rows) and got["moran_i"] == pytest.approx(real, rel=1e-9) and got["p"] == pytest.approx(p)
 
 
 def test_without_pairs_or_spread(spark):
     far = spark.createDataFrame([("a", 50.0, 20.0, 1.0), ("b", 60.0, 90.0, 2.0)], SCHEMA)
     for points in (far, far.limit(1), far.limit(0)):
-        assert tuple(moran_near(points, 500.0).first()) == (None, None)
+        assert tuple(moran_near(points, 500.0).first()) == (None, None) and moran_near_p(points, 500.0, 9, 1).count() == 0
     same = moran_near(spark.createDataFrame([("a", 50.0, 20.0, 1.0), ("b", 50.0, 20.1, 1.0)], SCHEMA), 500.0).first()
     assert same["n"] == 2 and math.isnan(same["moran_i"])
 
@@ -85,3 +87,15 @@ def test_moran_shuffles_no_pairs(spark, tmp_path):
     df = catalog.QUERIES["moran"](spark, str(tmp_path))
     assert shuffled(spark, df) < 2_000_000
     assert df.first()["moran_i"] == pytest.approx(brute(rows, 500.0)[0], rel=1e-9)
+
+
+def test_moran_permutations_shuffles_no_pairs(spark, tmp_path):
+    rows = sites(spark, tmp_path, 300)  # 45 thousand pairs, 4.4 million with their replicates
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = catalog.QUERIES["moran_permutations"](spark, str(tmp_path))
+        assert shuffled(spark, df) < 4_000_000
+        assert df.first()["p"] == pytest.approx(brute(rows, 500.0, 99, 20260803)[1])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
